@@ -143,6 +143,12 @@ def label_severity(spark, folder):
     return rows.select("flow_id", "flow_packets_s", "attack_type", "severity")
 
 
+def _whole_rates(spark, folder) -> DataFrame:
+    """Labelled flows with rates in whole bytes, whose sums are exact in any order."""
+    flows = classify_rules(views.timed_flows(spark, folder))
+    return flows.withColumn("flow_bytes_s", F.floor("flow_bytes_s").cast("double"))
+
+
 def _scored_by_rules(spark, folder) -> DataFrame:
     """Flows with the rule class in the place of a model's prediction."""
     return classify_rules(views.timed_flows(spark, folder), name="predicted_attack")
@@ -223,13 +229,13 @@ def _flat_stats(rows: DataFrame) -> DataFrame:
         f"n_{c.lower()}": F.coalesce(F.try_element_at("attackTypes", F.lit(c)), F.lit(0).cast("long"))
         for c in ("FLOOD", "STEALTH", "BURST")
     }
-    places = {"avgBytesPerSec": 2, "avgPacketsPerSec": 6, "attackRate": 6, "avgKemHandshakeMs": 6, "avgSigSignMs": 6}
+    places = {"avgBytesPerSec": 4, "avgPacketsPerSec": 9, "avgKemHandshakeMs": 9, "avgSigSignMs": 9}
     return rounded(rows.withColumns(spread).drop("attackTypes"), places)
 
 
 @query
 def flow_stats_10s(spark, folder):
-    return _flat_stats(stats.windowed_stats(views.timed_flows(spark, folder), "event_time"))
+    return _flat_stats(stats.windowed_stats(_whole_rates(spark, folder), "event_time"))
 
 
 @query
@@ -261,27 +267,21 @@ def run_totals(spark, folder):
 
 @query
 def running_rates(spark, folder):
-    rows = stats.running_rates(
-        views.timed_flows(spark, folder), "event_time", by=["src_ip"], tie=["flow_id"]
-    )
-    return rounded(rows, {"avg_bytes_s": 2, "avg_packets_s": 4}).select(
-        "src_ip", "flow_id", "flow_count", "avg_bytes_s", "avg_packets_s"
-    )
+    rows = stats.running_rates(_whole_rates(spark, folder), "event_time", by=["src_ip"], tie=["flow_id"])
+    return rows.select("src_ip", "flow_id", "flow_count", "avg_bytes_s", "avg_packets_s")
 
 
 @query
 def running_rates_overall(spark, folder):
-    rows = stats.running_rates(views.timed_flows(spark, folder), "event_time", tie=["flow_id"])
-    return rounded(rows, {"avg_bytes_s": 2, "avg_packets_s": 4}).select(
-        "flow_id", "flow_count", "avg_bytes_s", "avg_packets_s"
-    )
+    rows = stats.running_rates(_whole_rates(spark, folder), "event_time", tie=["flow_id"])
+    return rows.select("flow_id", "flow_count", "avg_bytes_s", "avg_packets_s")
 
 
 @query
 def chart_points(spark, folder):
-    rows = stats.running_rates(views.timed_flows(spark, folder), "event_time", tie=["flow_id"])
+    rows = stats.running_rates(_whole_rates(spark, folder), "event_time", tie=["flow_id"])
     shown = history.chart_points(rows.withColumn("event_ms", event_ms()), "event_ms", tie=["flow_id"])
-    return rounded(shown, {"avg_bytes_s": 2}).select("flow_id", "event_ms", "flow_count", "avg_bytes_s")
+    return shown.select("flow_id", "event_ms", "flow_count", "avg_bytes_s")
 
 
 @query
@@ -297,8 +297,7 @@ def rate_values(spark, folder):
 
 def _horizon(length: str) -> Query:
     def run(spark, folder):
-        rows = history.horizon_rates(views.timed_flows(spark, folder), "event_time", length)
-        return rounded(rows, {"avg_bytes_s": 2, "avg_packets_s": 6})
+        return history.horizon_rates(_whole_rates(spark, folder), "event_time", length)
 
     return run
 
@@ -487,7 +486,9 @@ def rf_reloaded(spark, folder):
 @query
 def stream_flow_stats(spark, folder):
     path = run_dir(spark, "stats")
-    rows = jobs.stream_flow_stats(views.flow_stream(spark, folder), "event_time")
+    flows = classify_rules(views.flow_stream(spark, folder))
+    whole = flows.withColumn("flow_bytes_s", F.floor("flow_bytes_s").cast("double"))
+    rows = jobs.stream_flow_stats(whole, "event_time")
     jobs.replay(rows, path, "update")
     return _flat_stats(jobs.latest_windows(spark, f"{path}/rows"))
 

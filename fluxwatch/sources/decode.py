@@ -29,7 +29,7 @@ def decode_flows(
     carried = list(keep or [])
     if mode == "permissive":
         flow = F.from_json(text, FLOW, {"mode": "PERMISSIVE"})
-        return zero_fill(messages.select(*carried, flow.alias("flow")).select(*carried, "flow.*"), FLOW_NUMBERS)
+        return zero_fill(messages.select(*carried, F.inline(F.array(flow))), FLOW_NUMBERS)
     if mode != "strict":
         raise ValueError(f"unknown mode {mode!r}")
     marked = T.StructType([*FLOW.fields, T.StructField(_BAD, T.StringType())])
@@ -38,13 +38,14 @@ def decode_flows(
         "columnNameOfCorruptRecord": _BAD,
         "allowNonNumericNumbers": "false",
     }
-    rows = messages.select(*carried, F.from_json(text, marked, options).alias("flow"))
-    good = rows.filter(F.col("flow").isNotNull() & F.col(f"flow.{_BAD}").isNull())
+    flow = F.from_json(text, marked, options)
+    # unpacked by a generator, so that later filters are not pushed below it and
+    # each message is parsed once, however often its fields are used
+    rows = messages.select(*carried, F.inline(F.array_compact(F.array(flow))))
     filled = [
-        F.coalesce(F.col(f"flow.{name}"), F.lit(default)).alias(name)
-        for name, default in FLOW_DEFAULTS.items()
+        F.coalesce(F.col(name), F.lit(default)).alias(name) for name, default in FLOW_DEFAULTS.items()
     ]
-    return good.select(*carried, *filled)
+    return rows.filter(F.col(_BAD).isNull()).select(*carried, *filled)
 
 
 FLOW_NUMBERS = [f.name for f in FLOW.fields if isinstance(f.dataType, T.NumericType)]
