@@ -235,10 +235,9 @@ def variance_path(
         *by, F.slice(F.concat("params", F.array(F.lit(0.0))), 1, 4).alias("p")
     )
     backcast = opening_moments(frame, value, by).select(*by, F.array("backcast").alias("extra"))
-    blocks = per_block(pack(frame, value, by), backcast, by)
-    linked = blocks.join(block_carries(blocks, full, by, model), [*by, "seg"])
+    given = full.join(backcast, by)
     schema = T.StructType(
-        [linked.schema[c] for c in by]
+        [given.schema[c] for c in by]
         + T._parse_datatype_string("seg long, r array<double>, variance array<double>").fields
     )
 
@@ -246,7 +245,8 @@ def variance_path(
         for batch in batches:
             for chunk in _chunks(batch):
                 data = _cells(chunk)
-                p, into = (np.asarray(chunk[c].tolist(), float) for c in ("p", "into"))
+                p = np.asarray(chunk["p"].tolist(), float)
+                into = np.asarray(chunk["into"].tolist(), float) if "into" in chunk else model.enter(p)
                 path = np.zeros_like(data.y)
 
                 def each(t: int, h: np.ndarray, slopes: tuple) -> None:
@@ -260,7 +260,13 @@ def variance_path(
                     variance=[v[:n] for v, n in zip(path, lengths)],
                 )
 
-    made = linked.mapInPandas(run, schema)
+    # only series of several blocks have a state to carry between them
+    brief = per_block(pack(frame.filter(F.col("n") <= BLOCK), value, by), given, by)
+    made = brief.mapInPandas(run, schema)
+    if not frame.filter(F.col("idx") == BLOCK).isEmpty():
+        blocks = per_block(pack(frame.filter(F.col("n") > BLOCK), value, by), given.drop("p"), by)
+        linked = blocks.join(block_carries(blocks, full, by, model), [*by, "seg"])
+        made = made.unionByName(linked.mapInPandas(run, schema))
     return made.select(
         *by, "seg", F.posexplode(F.arrays_zip("r", "variance")).alias("at", "v")
     ).select(*by, (F.col("seg") * BLOCK + F.col("at")).alias("idx"), "v.r", "v.variance")
