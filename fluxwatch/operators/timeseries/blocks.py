@@ -12,7 +12,7 @@ A model provides, on arrays with one entry per block:
 ``start(y)``               starting parameters, one set per start
 ``advance(p, data)``       parameters ``p`` -> the map of each block
 ``sums(p, data, i, o)``    sufficient statistics given the carries in and out
-``update(p, sums)``        next parameters
+``update(p, sums)``        next parameters; their last entry is the relative change
 and on single maps ``enter, leave, forward, backward, combine``.
 """
 
@@ -29,10 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fluxwatch.operators.timeseries.frame import BLOCK, KEY, lagged, train_rows
-from fluxwatch.session import shared_dir
+from fluxwatch.session import written
 
 # Maps one task combines at most.
 FAN = 1024
+# Relative change below which a series counts as fitted.
+SETTLED = 1e-9
 # Values of a block that one numpy pass holds at most, over all its blocks.
 CELLS = 2_000_000
 
@@ -118,20 +120,22 @@ def _solve_in_task(blocks: DataFrame, by: list[str], model, rounds: int) -> Data
         p = np.asarray(chunk["p"].tolist(), float)
         for _ in range(rounds):
             p = model.update(p, model.sums(p, data, model.enter(p), model.leave(p)))
+            if np.all(p[:, -1] <= SETTLED):
+                break
         return [p]
 
     return _map_chunks(blocks, [*by, "start"], ["p"], work)
 
 
-def carries(maps: DataFrame, by: list[str], model) -> DataFrame:
+def carries(maps: DataFrame, by: list[str], model, grouped: bool) -> DataFrame:
     """Carry into and out of every block: ``by, seg, p, into, out``.
 
-    ``maps`` holds one row per block. Groups of FAN blocks are combined first,
-    the combined maps are run through per series, then each group is run
-    through from its own carries.
+    ``maps`` holds one row per block. If some series has more than FAN blocks
+    (``grouped``), groups of FAN blocks are combined first, the combined maps are
+    run through per series, then each group is run through from its own carries.
     """
     keys = [maps.schema[c] for c in by]
-    grouped = maps.withColumn("grp", F.floor(F.col("seg") / F.lit(FAN)).cast("long"))
+    placed = maps.withColumn("grp", F.floor(F.col("seg") / F.lit(FAN)).cast("long"))
     wide = T.StructType([*keys, T.StructField("grp", T.LongType()), *_doubles("p", "map")])
 
     def combine(part: pd.DataFrame) -> pd.DataFrame:
@@ -162,12 +166,15 @@ def carries(maps: DataFrame, by: list[str], model) -> DataFrame:
 
         return run
 
-    tops = grouped.groupBy(*by, "grp").applyInPandas(combine, wide)
-    top_schema = T.StructType([*keys, T.StructField("grp", T.LongType()), *_doubles("p", "into", "out")])
-    top = tops.groupBy(*by).applyInPandas(through("grp", False), top_schema)
-    seg_schema = T.StructType([*keys, T.StructField("seg", T.LongType()), *_doubles("p", "into", "out")])
-    joined = grouped.join(top.drop("p"), [*by, "grp"])
-    return joined.groupBy(*by, "grp").applyInPandas(through("seg", True), seg_schema)
+    def schema(order: str) -> T.StructType:
+        return T.StructType([*keys, T.StructField(order, T.LongType()), *_doubles("p", "into", "out")])
+
+    if not grouped:
+        return maps.groupBy(*by).applyInPandas(through("seg", False), schema("seg"))
+    tops = placed.groupBy(*by, "grp").applyInPandas(combine, wide)
+    top = tops.groupBy(*by).applyInPandas(through("grp", False), schema("grp"))
+    joined = placed.join(top.drop("p"), [*by, "grp"])
+    return joined.groupBy(*by, "grp").applyInPandas(through("seg", True), schema("seg"))
 
 
 def per_block(blocks: DataFrame, params: DataFrame, by: list[str]) -> DataFrame:
@@ -177,7 +184,14 @@ def per_block(blocks: DataFrame, params: DataFrame, by: list[str]) -> DataFrame:
     return blocks.join(places, [*by, "seg"])
 
 
-def block_carries(blocks: DataFrame, params: DataFrame, by: list[str], model) -> DataFrame:
+def many_blocks(frame: DataFrame) -> bool:
+    """Whether some series has more than FAN blocks."""
+    return not frame.filter(F.col("idx") == BLOCK * FAN).isEmpty()
+
+
+def block_carries(
+    blocks: DataFrame, params: DataFrame, by: list[str], model, grouped: bool
+) -> DataFrame:
     """Carries of every block under given parameters (``by, p``)."""
     ready = per_block(blocks, params, by)
 
@@ -186,12 +200,12 @@ def block_carries(blocks: DataFrame, params: DataFrame, by: list[str], model) ->
         return [p, model.advance(p, _cells(chunk))]
 
     maps = _map_chunks(ready, [*by, "seg"], ["p", "map"], advance)
-    return carries(maps, by, model)
+    return carries(maps, by, model, grouped)
 
 
-def _round(blocks: DataFrame, params: DataFrame, by: list[str], model) -> DataFrame:
+def _round(blocks: DataFrame, params: DataFrame, by: list[str], model, grouped: bool) -> DataFrame:
     """One round over the blocks of long series."""
-    linked = blocks.join(block_carries(blocks, params, by, model), [*by, "seg"])
+    linked = blocks.join(block_carries(blocks, params, by, model, grouped), [*by, "seg"])
 
     def work(chunk: pd.DataFrame) -> list[np.ndarray]:
         p, into, out = (np.asarray(chunk[c].tolist(), float) for c in ("p", "into", "out"))
@@ -227,7 +241,6 @@ def fit_blocks(
     ``params`` holds the starting parameters ``p`` and the constants ``extra`` of
     the series, one row per (series, start).
     """
-    shared_dir(frame.sparkSession)
     keys = [*by, "start"]
     rows = train_rows(frame)
     # a series that goes beyond its first block has exactly one row at this position
@@ -240,8 +253,11 @@ def fit_blocks(
     blocks = per_block(pack(wide, value, by), current.drop("p"), by)
     kept = blocks.persist(StorageLevel.MEMORY_AND_DISK)
     current = current.drop("extra")
+    grouped = many_blocks(rows)
     for _ in range(rounds):
         # a written copy of a few numbers per series cuts the lineage each round
-        current = _round(kept, current, keys, model).checkpoint()
+        current = written(_round(kept, current, keys, model, grouped), "round")
+        if current.filter(F.element_at("p", -1) > SETTLED).isEmpty():
+            break
     kept.unpersist()
     return fitted.unionByName(current)

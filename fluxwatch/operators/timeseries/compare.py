@@ -13,7 +13,7 @@ from fluxwatch.operators.timeseries.frame import KEY, test_rows
 from fluxwatch.operators.timeseries.linear import fit_arima, fit_arma, fit_sarima, fit_var, forecast
 from fluxwatch.operators.timeseries.regimes import fit_switching
 from fluxwatch.operators.timeseries.volatility import fit_arch, fit_garch
-from fluxwatch.session import shared_dir
+from fluxwatch.session import written
 
 FITS = {
     "ARMA(1,1)": fit_arma,
@@ -40,13 +40,13 @@ def fit_models(frame: DataFrame, names: list[str] | None = None, by: list[str] |
     """One row per (series, model) with its criteria, and the seconds each model
     took over all series. Each fit is written out once, which is also its timing."""
     by = by or KEY
-    shared_dir(frame.sparkSession)
     kept = frame.persist(StorageLevel.MEMORY_AND_DISK)
-    done = []
+    done: list[DataFrame] = []
     for name in names or list(FITS):
         begun = time.monotonic()
-        rows = FITS[name](kept, by=by).checkpoint()
+        rows = written(FITS[name](kept, by=by), "fit")
         done.append(rows.withColumn("fit_seconds", F.lit(time.monotonic() - begun)))
+    kept.unpersist()
     return reduce(DataFrame.unionByName, done)
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from fluxwatch.operators.timeseries.blocks import Cells, fit_blocks
 from fluxwatch.operators.timeseries.frame import KEY, lagged, train_rows
 
-# p: P(0 to 0), P(1 to 0), m0, m1, f0, f1, variance, likelihood (of the p before)
+# p: P(0 to 0), P(1 to 0), m0, m1, f0, f1, variance, likelihood (of the p before),
+#    relative change of the likelihood
 _P00, _P10, _M, _F, _V, _LLF = 0, 1, slice(2, 4), slice(4, 6), 6, 7
 _TINY = 1e-300
 
@@ -98,6 +99,7 @@ class Switching:
     def update(self, p: np.ndarray, s: np.ndarray) -> np.ndarray:
         n = len(p)
         out = p.copy()
+        out[:, -1] = np.abs(s[:, 0] - p[:, _LLF]) / (1 + np.abs(s[:, 0]))
         out[:, _LLF] = s[:, 0]
         one, y, x, yy, xy, xx = np.moveaxis(s[:, 1:].reshape(n, 2, 2, 6), -1, 0)
         before = np.maximum(one.sum(1), _TINY)
@@ -157,7 +159,7 @@ def fit_switching(
             F.lit(i).alias("start"),
             F.array(
                 F.lit(stay0), F.lit(go0), m + lift0 * d, m + lift1 * d, f0, f1,
-                d * d * 0.5, F.lit(-1e300),
+                d * d * 0.5, F.lit(-1e300), F.lit(1.0),
             ).alias("p"),
         )
 

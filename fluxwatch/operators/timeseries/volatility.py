@@ -19,6 +19,7 @@ from fluxwatch.operators.timeseries.blocks import (
     _chunks,
     block_carries,
     fit_blocks,
+    many_blocks,
     pack,
     per_block,
 )
@@ -29,9 +30,9 @@ from fluxwatch.operators.timeseries.linear import criteria, model_schema
 DECAY, DECAY_ROWS = 0.94, 75
 
 # p: mu, omega, alpha, beta | last accepted mu..beta, its likelihood, step size
-#    and the step | mean absolute change
+#    and the step | relative change
 _MU, _OMEGA, _ALPHA, _BETA = range(4)
-_GOOD, _LLF, _SIZE, _STEP = slice(4, 8), 8, 9, slice(10, 14)
+_GOOD, _LLF, _SIZE, _STEP, _CHANGE = slice(4, 8), 8, 9, slice(10, 14), 14
 
 
 class Garch:
@@ -137,7 +138,10 @@ class Garch:
                 out[i, _STEP] = move
             else:
                 out[i, _SIZE] = p[i, _SIZE] / 2
-            out[i, :4] = self._inside(out[i, _GOOD] + out[i, _SIZE] * out[i, _STEP], out[i, _GOOD])
+            point = self._inside(out[i, _GOOD] + out[i, _SIZE] * out[i, _STEP], out[i, _GOOD])
+            unit = np.abs(point) + [np.sqrt(out[i, _OMEGA]), 0.0, 0.01, 0.01]
+            out[i, _CHANGE] = np.max(np.abs(point - p[i, :4]) / unit)
+            out[i, :4] = point
         return out
 
     def _inside(self, trial: np.ndarray, good: np.ndarray) -> np.ndarray:
@@ -190,7 +194,7 @@ def _fit(frame: DataFrame, value: str, by: list[str] | None, beta_free: bool, ro
         F.array("backcast").alias("extra"),
         F.array(
             F.col("mean"), F.col("variance") * (1 - F.col("s.a") - F.col("s.b")), F.col("s.a"), F.col("s.b"),
-            *nothing, F.lit(-1e300), F.lit(1.0), *nothing,
+            *nothing, F.lit(-1e300), F.lit(1.0), *nothing, F.lit(1.0),
         ).alias("p"),
     )
     fitted = fit_blocks(frame, value, params, by, Garch(beta_free), rounds)
@@ -265,7 +269,7 @@ def variance_path(
     made = brief.mapInPandas(run, schema)
     if not frame.filter(F.col("idx") == BLOCK).isEmpty():
         blocks = per_block(pack(frame.filter(F.col("n") > BLOCK), value, by), given.drop("p"), by)
-        linked = blocks.join(block_carries(blocks, full, by, model), [*by, "seg"])
+        linked = blocks.join(block_carries(blocks, full, by, model, many_blocks(frame)), [*by, "seg"])
         made = made.unionByName(linked.mapInPandas(run, schema))
     return made.select(
         *by, "seg", F.posexplode(F.arrays_zip("r", "variance")).alias("at", "v")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(name: str, cpus: str = "*", **extra: str) -> SparkSession:
@@ -52,3 +52,12 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read back: cuts the lineage and
+    survives lost executors, and computes the rows once (a checkpoint does twice)."""
+    spark = df.sparkSession
+    path = run_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

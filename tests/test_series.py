@@ -41,7 +41,10 @@ def regime_series(n, seed):
 
 
 def frame_of(spark, named: dict[str, np.ndarray]):
-    rows = [(k, i, float(v), float(v) / 3, float(v) * 2 / 3) for k, y in named.items() for i, v in enumerate(y)]
+    rows = []
+    for k, y in named.items():
+        sent = y / 3 + np.sin(np.arange(len(y)) ** 2)
+        rows += [(k, i, float(v), float(a), float(v - a)) for i, (v, a) in enumerate(zip(y, sent))]
     return series_frame(spark.createDataFrame(rows, "series_id string, time_bucket long, total double, tx double, rx double"))
 
 
