@@ -34,9 +34,9 @@ from fluxwatch.session import written
 # Maps one task combines at most.
 FAN = 1024
 # Relative change below which a series counts as fitted.
-SETTLED = 1e-9
+SETTLED = 1e-8
 # Values of a block that one numpy pass holds at most, over all its blocks.
-CELLS = 2_000_000
+CELLS = 500_000
 
 
 @dataclass

@@ -34,26 +34,29 @@ class Switching:
     def leave(self, p: np.ndarray) -> np.ndarray:
         return np.ones((len(p), 2))
 
-    def _weights(self, p: np.ndarray, data: Cells, t: int) -> tuple[np.ndarray, np.ndarray]:
-        """Transition times density, scaled, and the log of the scale. Rows without a
-        predecessor and padding change nothing."""
-        m, f, v = p[:, _M], p[:, _F], p[:, _V]
-        y, x = data.y[:, t], data.x[:, t]
-        used = data.ok[:, t] & ~(data.first & (t == 0))
-        e = (y[:, None] - m - f * x[:, None])[:, :, None] + f[:, :, None] * m[:, None, :]
-        power = -0.5 * e * e / v[:, None, None]
-        top = power.max((1, 2))
-        dense = self._chain(p) * np.exp(power - top[:, None, None])
-        scale = top - 0.5 * np.log(2 * np.pi * v)
-        dense = np.where(used[:, None, None], dense, np.eye(2))
-        return dense, np.where(used, scale, 0.0)
+    def _weights(self, p: np.ndarray, data: Cells) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Transition times density at every cell, [cell, block, now, before], scaled,
+        the log of the scale, and which cells count. Rows without a predecessor and
+        padding change nothing."""
+        m, f, v = p[:, _M], p[:, _F], p[:, _V, None]
+        used = data.ok.copy()
+        used[:, 0] &= ~data.first
+        x = np.where(used, data.x, 0.0)
+        plain = data.y[:, :, None] - f[:, None, :] * x[:, :, None] - m[:, None, :]
+        e = plain[:, :, :, None] + (f[:, :, None] * m[:, None, :])[:, None]
+        power = -0.5 * e * e / v[:, :, None, None]
+        top = power.max((2, 3))
+        dense = self._chain(p)[:, None] * np.exp(power - top[:, :, None, None])
+        dense = np.where(used[:, :, None, None], dense, np.eye(2))
+        scale = np.where(used, top - 0.5 * np.log(2 * np.pi * v), 0.0)
+        return np.ascontiguousarray(dense.transpose(1, 0, 2, 3)), scale, used
 
     def advance(self, p: np.ndarray, data: Cells) -> np.ndarray:
         """Product of the block's weights, as four numbers of sum 1."""
         whole = np.tile(np.eye(2), (len(p), 1, 1))
-        for t in range(data.y.shape[1]):
-            whole = self._weights(p, data, t)[0] @ whole
-            whole /= np.maximum(whole.sum((1, 2)), _TINY)[:, None, None]
+        for w in self._weights(p, data)[0]:
+            whole = np.matmul(w, whole)
+            whole /= np.maximum(whole.sum((1, 2), keepdims=True), _TINY)
         return whole.reshape(len(p), 4)
 
     def forward(self, p, state, m):
@@ -72,28 +75,26 @@ class Switching:
         """Likelihood, then for every (now, before) pair the probability-weighted
         sums of 1, y, x, y^2, xy, x^2."""
         n, width = data.y.shape
-        alpha = np.empty((width + 1, n, 2))
-        alpha[0] = into / into.sum(1, keepdims=True)
-        llf = np.zeros(n)
+        weights, scale, used = self._weights(p, data)
+        alpha = np.empty((width + 1, n, 2, 1))
+        mass = np.empty((width, n, 1, 1))
+        alpha[0, :, :, 0] = into / into.sum(1, keepdims=True)
         for t in range(width):
-            w, scale = self._weights(p, data, t)
-            ahead = np.einsum("nij,nj->ni", w, alpha[t])
-            mass = np.maximum(ahead.sum(1), _TINY)
-            llf += np.log(mass) + scale
-            alpha[t + 1] = ahead / mass[:, None]
-        beta = out / out.sum(1, keepdims=True)
-        found = np.zeros((n, 2, 2, 6))
+            ahead = np.matmul(weights[t], alpha[t])
+            mass[t] = np.maximum(ahead.sum(1, keepdims=True), _TINY)
+            np.divide(ahead, mass[t], out=alpha[t + 1])
+        llf = np.log(mass[:, :, 0, 0]).sum(0) + scale.sum(1)
+        beta = np.empty((width, n, 1, 2))
+        later = (out / out.sum(1, keepdims=True))[:, None, :]
         for t in range(width - 1, -1, -1):
-            w, _ = self._weights(p, data, t)
-            pair = beta[:, :, None] * w * alpha[t][:, None, :]
-            pair /= np.maximum(pair.sum((1, 2)), _TINY)[:, None, None]
-            used = data.ok[:, t] & ~(data.first & (t == 0))
-            y = data.y[:, t]
-            x = np.where(used, data.x[:, t], 0.0)
-            terms = np.stack([np.ones(n), y, x, y * y, x * y, x * x], 1) * used[:, None]
-            found += pair[..., None] * terms[:, None, None, :]
-            beta = np.einsum("ni,nij->nj", beta, w)
-            beta /= np.maximum(beta.sum(1), _TINY)[:, None]
+            beta[t] = later
+            later = np.matmul(later, weights[t])
+            later /= np.maximum(later.sum(2, keepdims=True), _TINY)
+        pair = beta.transpose(0, 1, 3, 2) * weights * alpha[:-1].transpose(0, 1, 3, 2)
+        pair /= np.maximum(pair.sum((2, 3), keepdims=True), _TINY)
+        y, x = np.where(used, data.y, 0.0), np.where(used, data.x, 0.0)
+        terms = np.stack([used.astype(float), y, x, y * y, x * y, x * x], 2)
+        found = np.matmul(pair.transpose(1, 2, 3, 0).reshape(n, 4, width), terms)
         return np.concatenate([llf[:, None], found.reshape(n, 24)], 1)
 
     def update(self, p: np.ndarray, s: np.ndarray) -> np.ndarray:
@@ -136,7 +137,7 @@ class Switching:
 
 
 def fit_switching(
-    frame: DataFrame, value: str = "total", by: list[str] | None = None, rounds: int = 60
+    frame: DataFrame, value: str = "total", by: list[str] | None = None, rounds: int = 100
 ) -> DataFrame:
     """Switching autoregression; params: P(0 to 0), P(1 to 0), means, slopes, variance.
     No forecast of the level."""

@@ -48,34 +48,34 @@ class Garch:
 
     leave = enter
 
-    def _run(self, p: np.ndarray, data: Cells, into: np.ndarray, each=None) -> np.ndarray:
-        mu, omega, alpha, beta = (p[:, i] for i in range(4))
-        h, dm, do, da, db = into.T.copy()
-        backcast = data.extra[:, 0]
-        for t in range(data.y.shape[1]):
-            opening = data.first & (t == 0)
-            r = data.x[:, t] - mu
-            before = np.where(opening, backcast, r * r)
-            last = np.where(opening, backcast, h)
-            h, dm, do, da, db = (
-                np.where(data.ok[:, t], new, old)
-                for new, old in (
-                    (omega + alpha * before + beta * last, h),
-                    (np.where(opening, 0.0, -2 * alpha * r) + beta * dm, dm),
-                    (1 + beta * do, do),
-                    (before + beta * da, da),
-                    (last + beta * db, db),
-                )
-            )
-            if each is not None:
-                each(t, h, (dm, do, da, db))
-        return np.stack([h, dm, do, da, db], 1)
+    def _run(self, p: np.ndarray, data: Cells, into: np.ndarray) -> np.ndarray:
+        """Variance and its derivatives at every cell, [cell, block, 5]. Padding
+        follows the last value of a block, so it only has to be ignored later."""
+        mu, omega, alpha, beta = (p[:, i, None] for i in range(4))
+        backcast = data.extra[:, :1]
+        opening = np.zeros(data.y.shape, bool)
+        opening[:, 0] = data.first
+        r = np.where(opening, 0.0, data.x - mu)
+        before = np.where(opening, backcast, r * r)
+        # what enters each cell besides the state: all but the variance before
+        enters = np.stack(
+            [omega + alpha * before, -2 * alpha * r, np.ones_like(r), before, np.zeros_like(r)], 2
+        ).transpose(1, 0, 2)
+        state = into.copy()
+        state[data.first, 0] = backcast[data.first, 0]
+        out = np.empty(enters.shape)
+        for t in range(len(out)):
+            after = np.add(beta * state, enters[t], out=out[t])
+            after[:, 4] += state[:, 0]
+            state = after
+        return out
 
     def advance(self, p: np.ndarray, data: Cells) -> np.ndarray:
         """Length and end state from a zero start; the first block starts the series."""
-        length = data.ok.sum(1).astype(float)
-        end = self._run(p, data, self.enter(p))
-        return np.concatenate([length[:, None], end], 1)
+        length = data.ok.sum(1)
+        path = self._run(p, data, self.enter(p))
+        end = path[length - 1, np.arange(len(p))]
+        return np.concatenate([length[:, None].astype(float), end], 1)
 
     def forward(self, p: np.ndarray, state: np.ndarray, m: np.ndarray) -> np.ndarray:
         beta, length = p[_BETA], m[0]
@@ -93,26 +93,18 @@ class Garch:
 
     def sums(self, p: np.ndarray, data: Cells, into: np.ndarray, out: np.ndarray) -> np.ndarray:
         """Likelihood, rows, score (4) and information (10) of each block."""
-        n = len(p)
-        llf, rows = np.zeros(n), np.zeros(n)
-        score, info = np.zeros((n, 4)), np.zeros((n, 4, 4))
-
-        def each(t: int, h: np.ndarray, slopes: tuple) -> None:
-            ok = data.ok[:, t]
-            r = data.y[:, t] - p[:, _MU]
-            safe = np.where(ok, h, 1.0)
-            ratio = np.where(ok, r * r / safe - 1, 0.0)
-            nonlocal llf, rows, score, info
-            llf = llf - 0.5 * np.where(ok, np.log(2 * np.pi * safe) + r * r / safe, 0.0)
-            rows = rows + ok
-            g = np.stack(slopes, 1) / safe[:, None] * ok[:, None]
-            score = score + 0.5 * ratio[:, None] * g
-            score[:, _MU] += np.where(ok, r / safe, 0.0)
-            info = info + 0.5 * g[:, :, None] * g[:, None, :]
-            info[:, _MU, _MU] += np.where(ok, 1 / safe, 0.0)
-
-        self._run(p, data, into, each)
+        path = self._run(p, data, into).transpose(1, 0, 2)
+        h = np.where(data.ok, path[:, :, 0], 1.0)
+        r = np.where(data.ok, data.y - p[:, :1], 0.0)
+        square = r * r / h
+        llf = -0.5 * np.where(data.ok, np.log(2 * np.pi * h) + square, 0.0).sum(1)
+        slope = path[:, :, 1:] / h[:, :, None] * data.ok[:, :, None]
+        score = 0.5 * np.einsum("nt,nti->ni", square - 1, slope)
+        score[:, _MU] += (r / h).sum(1)
+        info = 0.5 * np.matmul(slope.transpose(0, 2, 1), slope)
+        info[:, _MU, _MU] += np.where(data.ok, 1 / h, 0.0).sum(1)
         upper = np.triu_indices(4)
+        rows = data.ok.sum(1).astype(float)
         return np.concatenate([llf[:, None], rows[:, None], score, info[:, upper[0], upper[1]]], 1)
 
     def update(self, p: np.ndarray, s: np.ndarray) -> np.ndarray:
@@ -251,12 +243,7 @@ def variance_path(
                 data = _cells(chunk)
                 p = np.asarray(chunk["p"].tolist(), float)
                 into = np.asarray(chunk["into"].tolist(), float) if "into" in chunk else model.enter(p)
-                path = np.zeros_like(data.y)
-
-                def each(t: int, h: np.ndarray, slopes: tuple) -> None:
-                    path[:, t] = h
-
-                model._run(p, data, into, each)
+                path = model._run(p, data, into)[:, :, 0].T
                 lengths = data.ok.sum(1)
                 r = data.y - p[:, [0]]
                 yield chunk[[*by, "seg"]].assign(
