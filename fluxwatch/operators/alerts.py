@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fluxwatch.config import TOPIC_ALERTS
 from fluxwatch.functions.rules import classify_rules, label_severity, only_attacks, rate_severity
 from fluxwatch.functions.scalars import instant_ms, present, truthy_number, truthy_text
 
 
+# The producer names messages carry.
+EXPORT_SOURCE, ML_SOURCE = "ns3-simulator", "spark-ml"
+
+
 def now_ms() -> Column:
     return F.unix_millis(F.current_timestamp())
 
@@ -64,7 +67,7 @@ def to_ml_alerts(
         F.col("KEM_Handshake_ms").alias("kemHandshakeMs"),
         F.col("SIG_Sign_ms").alias("sigSignMs"),
         when.alias("timestamp"),
-        F.lit("spark-ml").alias("source"),
+        F.lit(ML_SOURCE).alias("source"),
     )
 
 
@@ -79,7 +82,7 @@ def to_topic_rows(df: DataFrame, key: str = "flow_id") -> DataFrame:
     return df.select(name.alias("key"), F.to_json(F.struct("*")).alias("value"))
 
 
-def enrich_export(flows: DataFrame, exported_at: Column | None = None, source: str = "ns3-simulator") -> DataFrame:
+def enrich_export(flows: DataFrame, exported_at: Column | None = None, source: str = EXPORT_SOURCE) -> DataFrame:
     """Adds ``exported_at`` (epoch ms) and ``source``."""
     return flows.withColumns(
         {"exported_at": now_ms() if exported_at is None else exported_at, "source": F.lit(source)}
@@ -115,7 +118,7 @@ def normalize_alerts(alerts: DataFrame, now: Column | None = None) -> DataFrame:
             "pqc_enabled"
         ),
         F.coalesce(*instants, now_ms() if now is None else now).alias("timestamp_ms"),
-        F.coalesce(*present(alerts, ["source"]), F.lit("")).eqNullSafe(F.lit("spark-ml")).alias("is_ml"),
+        F.coalesce(*present(alerts, ["source"]), F.lit("")).eqNullSafe(F.lit(ML_SOURCE)).alias("is_ml"),
     )
 
 
@@ -132,6 +135,3 @@ def severity_filter(alerts: DataFrame, level: str = "all") -> DataFrame:
 def severity_counts(alerts: DataFrame) -> DataFrame:
     """The alert counter: everything received, whatever is shown, plus the split by severity."""
     return alerts.groupBy("severity").count()
-
-
-ALERT_TOPIC = TOPIC_ALERTS

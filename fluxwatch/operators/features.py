@@ -4,8 +4,8 @@ Ordering packets inside a flow needs a window, and a window partition is one
 task. A flow may hold a large share of all packets, so flows above
 ``max_rows`` are first cut into time slices: gaps between packets are taken
 inside each (flow, slice), then one summary row per slice is combined per flow,
-where the gap between consecutive slices is added. Flows below the limit have
-exactly one slice, so for them the second step handles a single row.
+where the gap between consecutive slices is added. Flows below the limit are
+not sliced, so for them the second step handles a single row.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ _SLICE = "__slice"
 def slice_hot_flows(
     packets: DataFrame, key: list[str], ts: str, max_rows: int = MAX_ROWS
 ) -> DataFrame:
-    """Adds ``__slice``: 0 for ordinary flows, the time slice for the largest ones."""
+    """Adds ``__slice``: the time slice within one of the largest flows, null in all others."""
     sizes = packets.groupBy(*key).agg(
         F.count("*").alias("__n"), F.min(ts).alias("__t0"), F.max(ts).alias("__t1")
     )
@@ -45,7 +45,7 @@ def slice_hot_flows(
     slot = F.floor((F.col(ts) - F.col("__hot_t0")) / F.col("__hot_width"))
     return (
         packets.join(F.broadcast(hot), match, "left")
-        .withColumn(_SLICE, F.coalesce(slot, F.lit(0).cast("long")))
+        .withColumn(_SLICE, slot)
         .drop(*[f"__hot_{k}" for k in key], "__hot_t0", "__hot_width")
     )
 
@@ -66,11 +66,11 @@ def packet_iat(
     within = Window.partitionBy(*key, _SLICE).orderBy(ts)
     across = Window.partitionBy(*key).orderBy(_SLICE)
     ends = (
-        sliced.groupBy(*key, _SLICE)
+        # nothing to read here, and nothing is, unless some flow was sliced
+        sliced.filter(F.col(_SLICE).isNotNull())
+        .groupBy(*key, _SLICE)
         .agg(F.max(ts).alias("__end"))
         .withColumn("__before", F.lag("__end").over(across))
-        # only slices with a predecessor matter: none for an unsliced flow
-        .filter(F.col("__before").isNotNull())
         .select(*[F.col(k).alias(f"__e_{k}") for k in key], F.col(_SLICE).alias("__e_slice"), "__before")
     )
     match = F.col(_SLICE) == F.col("__e_slice")

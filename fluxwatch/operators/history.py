@@ -31,12 +31,20 @@ def feature_ranking(importance: DataFrame, n: int | None = None) -> DataFrame:
 
 
 def horizon_rates(flows: DataFrame, time: str, length: str, slide: str | None = None) -> DataFrame:
-    """Flow count and mean rates over a trailing horizon."""
-    span = F.window(time, length, slide or HORIZONS[length])
-    return flows.groupBy(span.alias("window")).agg(
-        F.count("*").alias("flow_count"),
-        F.avg("flow_bytes_s").alias("avg_bytes_s"),
-        F.avg("flow_packets_s").alias("avg_packets_s"),
+    """Flow count and mean rates over a trailing horizon.
+
+    Rows are first summed per slide interval; only those sums are repeated for
+    the horizons they belong to. ``length`` must be a multiple of ``slide``.
+    """
+    slide = slide or HORIZONS[length]
+    parts = flows.groupBy(F.window(time, slide).alias("part")).agg(
+        F.count("*").alias("n"), F.sum("flow_bytes_s").alias("b"), F.sum("flow_packets_s").alias("p")
+    )
+    begun = parts.select(F.col("part.start").alias("at"), "n", "b", "p")
+    return begun.groupBy(F.window("at", length, slide).alias("window")).agg(
+        F.sum("n").alias("flow_count"),
+        (F.sum("b") / F.sum("n")).alias("avg_bytes_s"),
+        (F.sum("p") / F.sum("n")).alias("avg_packets_s"),
     ).select(
         F.unix_millis("window.start").alias("window_start"),
         F.unix_millis("window.end").alias("window_end"),

@@ -5,18 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fluxwatch.config import WindowConfig
 from fluxwatch.functions.rules import classify_rules
+from fluxwatch.functions.scalars import zero_fill
 from fluxwatch.operators.alerts import as_json, to_alerts, to_ml_alerts
 from fluxwatch.operators.ml import score
 from fluxwatch.operators.stats import windowed_stats
 from fluxwatch.schemas import TRAINING_NAMES
 from fluxwatch.sources.decode import decode_flows, to_training_names
-from fluxwatch.functions.scalars import zero_fill
 
 
 def detect(messages: DataFrame, timestamp=None) -> DataFrame:
@@ -104,12 +104,9 @@ def console_sink(n: int = 20) -> Callable[[DataFrame, int], None]:
 def latest_windows(spark: SparkSession, path: str) -> DataFrame:
     """Current statistics per window from the batches of an ``update`` mode stream."""
     rows = spark.read.parquet(path)
-    newest = Window.partitionBy("windowStart").orderBy(F.desc("batch"))
-    return (
-        rows.withColumn("__rank", F.row_number().over(newest))
-        .filter(F.col("__rank") == 1)
-        .drop("__rank", "batch")
-    )
+    columns = [c for c in rows.columns if c not in ("windowStart", "batch")]
+    newest = F.max_by(F.struct(*columns), "batch").alias("now")
+    return rows.groupBy("windowStart").agg(newest).select("windowStart", "now.*")
 
 
 def replay(stream: DataFrame, path: str, mode: str = "append") -> None:
