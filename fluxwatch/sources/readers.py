@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,6 +96,23 @@ def read_table_stream(spark: SparkSession, folder: str, name: str, schema: T.Str
     )
 
 
+_SERIES = T.StructType(
+    [T.StructField("series_id", T.StringType())]
+    + [
+        T.StructField(n, T.LongType())
+        for n in ("time_bucket", "tx_bytes_per_sec", "rx_bytes_per_sec", "total_bytes_per_sec")
+    ]
+)
+
+
+def read_series(spark: SparkSession, path: str) -> DataFrame:
+    """Bandwidth series as CSV; without a ``series_id`` column it is one series."""
+    named = "series_id" in _header(spark, path)
+    schema = _SERIES if named else T.StructType(_SERIES.fields[1:])
+    rows = spark.read.schema(schema).option("header", True).csv(path)
+    return rows if named else rows.withColumn("series_id", F.lit("total"))
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
@@ -111,10 +129,12 @@ _IMPORTANCE = T.StructType(
 
 def _json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines below ``path``, every part file; empty if the path is missing."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+    try:
+        return spark.read.schema(schema).json(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(path)
 
 
 def read_metrics(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
