@@ -122,11 +122,12 @@ class Garch:
             if better:
                 out[i, _GOOD], out[i, _LLF], out[i, _SIZE] = p[i, :4], llf[i], 1.0
                 move = np.zeros(4)
-                pick = np.ix_(self.free, self.free)
-                scale = np.sqrt(np.maximum(np.diag(info[i])[self.free], 1e-300))
-                a = info[i][pick] / np.outer(scale, scale) + 1e-10 * np.eye(len(self.free))
+                # alpha and beta stay at zero where the likelihood falls away from it
+                free = [j for j in self.free if j < _ALPHA or p[i, j] > 1e-12 or score[i, j] > 0]
+                scale = np.sqrt(np.maximum(np.diag(info[i])[free], 1e-300))
+                a = info[i][np.ix_(free, free)] / np.outer(scale, scale) + 1e-10 * np.eye(len(free))
                 if np.all(np.isfinite(a)):
-                    move[self.free] = np.linalg.lstsq(a, score[i, self.free] / scale, rcond=None)[0] / scale
+                    move[free] = np.linalg.lstsq(a, score[i, free] / scale, rcond=None)[0] / scale
                 out[i, _STEP] = move
             else:
                 out[i, _SIZE] = p[i, _SIZE] / 2
@@ -149,7 +150,7 @@ class Garch:
 
 
 # Starting (alpha, beta); omega follows from the variance.
-_STARTS = {False: [(0.1, 0.0), (0.4, 0.0)], True: [(0.05, 0.9), (0.1, 0.6), (0.3, 0.2)]}
+_STARTS = {False: [(0.1, 0.0), (0.4, 0.0)], True: [(0.05, 0.9), (0.1, 0.6), (0.3, 0.2), (0.1, 0.0)]}
 
 
 def opening_moments(frame: DataFrame, value: str, by: list[str]) -> DataFrame:

@@ -263,6 +263,10 @@ def test_garch_reaches_the_likelihood_maximum(spark):
     series = {"a": garch(500, 5.0, 0.3, 0.2, 0.6, 1), "b": garch(700, 1.0, 0.1, 0.1, 0.8, 3), "c": garch(60, 1.0, 0.5, 0.3, 0.2, 5)}
     frame = frame_of(spark, series)
     rounds = 60
+    series["noise"] = np.random.default_rng(8).normal(size=300)
+    frame = frame_of(spark, series)
+    arch, full = (collected(f(frame, rounds=rounds)) for f in (volatility.fit_arch, volatility.fit_garch))
+    assert all(full[name]["llf"] >= arch[name]["llf"] - 1e-5 for name in series)
     for fit, k in ((volatility.fit_arch, 3), (volatility.fit_garch, 4)):
         found = collected(fit(frame, rounds=rounds))
         for name, y in series.items():
