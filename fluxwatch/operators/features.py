@@ -17,7 +17,7 @@ from fluxwatch.functions.scalars import guard_duration
 
 # A flow with more packets than this is sliced. The table of such flows has at
 # most (all packets / MAX_ROWS) rows, which is what bounds its broadcast.
-MAX_ROWS = 4_000_000
+MAX_ROWS = 2_000_000
 # Slices are cut by time, and traffic is bursty: cut this many times finer.
 OVERSPLIT = 16
 
