@@ -92,10 +92,6 @@ def _chunks(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         begin += size
 
 
-def _stack(column: pd.Series) -> np.ndarray:
-    return np.asarray(column.tolist(), float)
-
-
 def _map_chunks(rows: DataFrame, by: list[str], outputs: list[str], work) -> DataFrame:
     """Applies ``work(chunk) -> list of 2-d arrays`` to packed rows."""
     schema = T.StructType([rows.schema[c] for c in by] + _doubles(*outputs))

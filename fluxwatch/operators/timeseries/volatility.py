@@ -8,7 +8,6 @@ falling by 0.94. Likelihoods are in the unit of the data.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +23,6 @@ from fluxwatch.operators.timeseries.blocks import (
     per_block,
 )
 from fluxwatch.operators.timeseries.frame import BLOCK, KEY, train_rows
-from fluxwatch.operators.timeseries.linear import criteria, model_schema
 
 # Back-cast decay and the number of rows it looks at.
 DECAY, DECAY_ROWS = 0.94, 75
