@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fluxwatch.config import MIN_DURATION_S, NORMAL
+from fluxwatch.operators.features import MAX_ROWS
 
 
 def flow_metrics_from_counters(counters: DataFrame) -> DataFrame:
@@ -39,21 +40,40 @@ def flow_metrics_from_counters(counters: DataFrame) -> DataFrame:
 
 
 def attach_metadata(
-    flows: DataFrame, meta: DataFrame, on: list[str], label: str = "attack_type", salts: int = 16
+    flows: DataFrame,
+    meta: DataFrame,
+    on: list[str],
+    label: str = "attack_type",
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Left-joins per-key metadata; a flow without any gets the label Normal.
 
     ``meta`` must hold one row per key. Its size is not known here, so it is not
     broadcast by hint: Spark does so where its statistics show that it fits. For
-    the other case the flows of one key are spread over ``salts`` partitions and
-    each metadata row is repeated that often, so a dominant key does not land in
-    one task.
+    the other case, keys with more than ``max_rows`` flows are split: their flows
+    are spread over parts by a hash of the row, and their metadata row is repeated
+    for each part. At most (all flows / max_rows) keys are split, which bounds the
+    broadcast of their list.
     """
-    salted = flows.withColumn(
-        "__salt", F.pmod(F.xxhash64(*flows.columns), F.lit(salts)).cast("int")
+    sizes = flows.groupBy(*on).agg(F.count("*").alias("__n")).filter(F.col("__n") > max_rows)
+    split = F.broadcast(
+        sizes.select(
+            *[F.col(k).alias(f"__hot_{k}") for k in on],
+            F.ceil(F.col("__n") / F.lit(float(max_rows))).alias("__parts"),
+        )
     )
-    copies = meta.withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+
+    def with_parts(df: DataFrame) -> DataFrame:
+        same = [F.col(k) == F.col(f"__hot_{k}") for k in on]
+        return df.join(split, same, "left").drop(*[f"__hot_{k}" for k in on])
+
+    parts = F.coalesce(F.col("__parts"), F.lit(1).cast("long"))
+    # a missing key matches nothing, so its flows may go anywhere
+    lost = F.greatest(*[F.col(k).isNull() for k in on], F.lit(False))
+    spread = with_parts(flows).withColumn(
+        "__part",
+        F.pmod(F.xxhash64(*flows.columns), F.when(lost, F.lit(1024).cast("long")).otherwise(parts)),
     )
-    joined = salted.join(copies, [*on, "__salt"], "left").drop("__salt")
-    return joined.withColumn(label, F.coalesce(F.col(label), F.lit(NORMAL)))
+    copies = with_parts(meta).withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    joined = spread.drop("__parts").join(copies.drop("__parts"), [*on, "__part"], "left")
+    return joined.drop("__part").withColumn(label, F.coalesce(F.col(label), F.lit(NORMAL)))

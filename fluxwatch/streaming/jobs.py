@@ -64,6 +64,9 @@ def fan_out(
     """
 
     def write(batch: DataFrame, number: int) -> None:
+        if len(sinks) == 1:
+            sinks[0](batch, number)
+            return
         kept = batch.persist()
         try:
             for sink in sinks:

@@ -139,13 +139,13 @@ def test_counters(spark):
     assert b["flow_iat_mean"] == 0.0 and b["flow_iat_max"] == 0.0 and b["fwd_pkt_len_mean"] == 0.0
 
 
-@pytest.mark.parametrize("salts", [1, 16])
-def test_metadata_defaults_to_normal(spark, salts):
-    left = spark.createDataFrame([(1, 5), (2, 5), (3, 9)] + [(i, 5) for i in range(4, 60)], "id int, port int")
+@pytest.mark.parametrize("max_rows", [2_000_000, 10])
+def test_metadata_defaults_to_normal(spark, max_rows):
+    left = spark.createDataFrame([(1, 5), (2, 5), (3, 9)] + [(i, 5) for i in range(4, 59)] + [(59, None)], "id int, port int")
     meta = spark.createDataFrame([(5, "FLOOD", 0.5)], "port int, attack_type string, kem double")
-    got = attach_metadata(left, meta, ["port"], salts=salts).toPandas()
+    got = attach_metadata(left, meta, ["port"], max_rows=max_rows).toPandas()
     assert len(got) == 59 and sorted(got.id) == list(range(1, 60))
-    assert set(got[got.port == 5].attack_type) == {"FLOOD"} and set(got[got.port == 9].attack_type) == {"Normal"}
+    assert set(got[got.port == 5].attack_type) == {"FLOOD"} and set(got[got.port != 5].attack_type) == {"Normal"}
 
 
 def test_latest_and_ranking(spark):
