@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from fluxwatch.llm import mixing, sharding, tokens
+from fluxwatch.llm import binary, lines, mixing, packing, quality, sharding, simhash, tokens
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op2_token_counts": tokens.op2_token_counts,
+    "op4_packing": packing.op4_packing,
+    "op5_token_files": binary.op5_token_files,
+    "op6_simhash": simhash.op6_simhash,
+    "op7_line_dedup": lines.op7_line_dedup,
+    "op8_quality": quality.op8_quality,
     "op9_mixing": mixing.op9_mixing,
 }
 
-ORACLES = {"op9_mixing": mixing.OP9_SQL}
+ORACLES = {"op7_line_dedup": lines.OP7_SQL, "op9_mixing": mixing.OP9_SQL}
