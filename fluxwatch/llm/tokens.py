@@ -49,7 +49,20 @@ SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 SEGMENT_CHARS = 1 << 20
 BATCH_BYTES = 1 << 20
-REMEMBERED, LONGEST = 600_000, 48
+REMEMBERED, LONGEST = 400_000, 48
+#: Words that are one word to both families' patterns and that only lower-casing normalises.
+SIMPLE = re.compile(rf" ?[{LETTER}]+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letters byte-level vocabularies write bytes in: printable bytes stand for themselves,
+    the others in their order for the code points from 256 on."""
+    plain = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = (b for b in range(256) if b not in plain)
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+BYTE_LETTERS = _byte_letters()
 
 
 class Encoder:
@@ -72,11 +85,15 @@ class Encoder:
         added = {t["content"]: t["id"] for t in rules["added_tokens"]}
         self.special = {k: int(v).to_bytes(4, "little") for k, v in added.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
+        self.model = self.library.model
+        # two generations of each memory: a full one is put behind, what is asked for again comes back
         self.known: dict[str, bytes] = {}  # ids of chunks
+        self.known_before: dict[str, bytes] = {}
         self.behind: dict[str, bytes] = {}  # ids of a word with the blank before it, if there is one
+        self.behind_before: dict[str, bytes] = {}
 
     def _encode(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of chunks by the library, in batches of bounded bytes."""
+        """Ids of chunks by the library: simple words by its model alone, others in batches of bounded bytes."""
         found: dict[str, bytes] = {}
         batch: list[str] = []
         weight = 0
@@ -85,20 +102,32 @@ class Encoder:
                 encoded = self.library.encode_batch_fast(batch, add_special_tokens=False)
                 found.update((c, array("I", e.ids).tobytes()) for c, e in zip(batch, encoded))
                 batch, weight = [], 0
-            if chunk is not None:
+            if chunk is None:
+                break
+            if SIMPLE.fullmatch(chunk):
+                word = chunk if self.kind == "bytes" else chunk.lower()
+                letters = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+                found[chunk] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            else:
                 batch.append(chunk)
                 weight += 4 * len(chunk)
         return found
 
-    def _cut(self, texts: set[str], find) -> dict[str, bytes]:
+    def _cut(self, texts: list[str], find) -> list[bytes]:
         """Ids of texts, each cut into chunks; chunks not met before go to the library together."""
-        cuts = {t: find(t) for t in texts}
-        known = self.known
-        new = self._encode({c for chunks in cuts.values() for c in chunks if c not in known})
-        done = {t: b"".join([known[c] if c in known else new[c] for c in chunks]) for t, chunks in cuts.items()}
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-        known.update((c, ids) for c, ids in new.items() if len(c) <= LONGEST)
+        known, before = self.known, self.known_before
+        cuts = [find(t) for t in texts]
+        new = {c for chunks in cuts for c in chunks if c not in known}
+        again = {c: before[c] for c in new if c in before}
+        found = self._encode(new - again.keys())
+        known.update(again)
+        known.update(found)
+        done = [b"".join(map(known.__getitem__, chunks)) for chunks in cuts]
+        for c in found:
+            if len(c) > LONGEST:
+                del known[c]
+        if len(known) > REMEMBERED:
+            self.known_before, self.known = known, {}
         return done
 
     def _plain(self, text: str) -> Iterator[bytes]:
@@ -117,21 +146,26 @@ class Encoder:
             segment = text[start:end] if end - start < len(text) else text
             start = end
             if not fast:
-                yield self._cut({segment}, find)[segment]
+                yield self._cut([segment], find)[0]
                 continue
             words = segment.replace("\n", " \n").split(" ") if blank else segment.split()
             if blank and (first := words.pop(0)):
-                yield self.known[first] if first in self.known else self._cut({first}, find)[first]
-            behind = self.behind
+                yield self.known[first] if first in self.known else self._cut([first], find)[0]
+            behind, before = self.behind, self.behind_before
             try:
                 yield b"".join(map(behind.__getitem__, words))
             except KeyError:
-                met = {w: w if w[:1] == "\n" else blank + w for w in words if w not in behind}
-                new = self._cut(set(met.values()), find)
-                yield b"".join([behind[w] if w in behind else new[met[w]] for w in words])
-                if len(behind) + len(new) > REMEMBERED:
-                    behind.clear()
-                behind.update((w, new[c]) for w, c in met.items() if len(w) <= LONGEST)
+                new = {w for w in words if w not in behind}
+                again = {w: before[w] for w in new if w in before}
+                met = list(new - again.keys())
+                behind.update(again)
+                behind.update(zip(met, self._cut([w if w[:1] == "\n" else blank + w for w in met], find)))
+                yield b"".join(map(behind.__getitem__, words))
+                for w in met:
+                    if len(w) > LONGEST:
+                        del behind[w]
+                if len(behind) > REMEMBERED:
+                    self.behind_before, self.behind = behind, {}
 
     def parts(self, text: str) -> Iterator[bytes]:
         """The ids of a text in pieces of bounded size."""
