@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -79,3 +80,22 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             break
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
+
+
+class Groups:
+    """Local union of linked rows: each row's label is the smallest row it is linked with."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+
+    def link(self, a: np.ndarray, b: np.ndarray) -> None:
+        label = self.label
+        while True:
+            x, y = label[a], label[b]
+            apart = x != y
+            if not apart.any():
+                return
+            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+            np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+            while (shorter := label[label] != label).any():
+                label[shorter] = label[label[shorter]]

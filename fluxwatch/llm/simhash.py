@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fluxwatch.llm.common import WORD_BYTES, components, table
+from fluxwatch.llm.common import WORD_BYTES, Groups, components, table
 from fluxwatch.session import written
 
 BITS, RADIUS, SHINGLE, SEED = 64, 3, 3, 42
@@ -137,25 +137,6 @@ def close_lanes(planes: np.ndarray, query: np.ndarray, block: np.ndarray, lanes:
     return place, ~over
 
 
-class Groups:
-    """Local union of linked rows: each row's label is the smallest row it is linked with."""
-
-    def __init__(self, n: int):
-        self.label = np.arange(n)
-
-    def link(self, a: np.ndarray, b: np.ndarray) -> None:
-        label = self.label
-        while True:
-            x, y = label[a], label[b]
-            apart = x != y
-            if not apart.any():
-                return
-            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-            np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
-            while (shorter := label[label] != label).any():
-                label[shorter] = label[label[shorter]]
-
-
 def linked(keys: np.ndarray, values: np.ndarray, side: np.ndarray, radius: int = RADIUS) -> np.ndarray:
     """For rows sorted by key: each row's label, links taken inside a key.
 
