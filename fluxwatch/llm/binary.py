@@ -33,7 +33,7 @@ from fluxwatch.session import run_dir, written
 MAGIC, VERSION, HEAD = b"FXID", 1, "<4sBBI16s"
 #: Documents the dictionary is trained on, bytes taken of each, and the dictionary's size.
 SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 8192, 65536
-BLOCK_BYTES, LEVEL = 4 << 20, 3
+BLOCK_BYTES, LEVEL = 1 << 20, 3
 
 
 def packed_ids(ids: bytes, width: int) -> bytes:
@@ -118,11 +118,13 @@ def write_ids(docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", t
     def compress(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         use, tool = encoder(path), compressor(dictionary)
         for frame in frames:
-            ids = [use.ids(t or "") + end for t in frame["text"]]
-            yield pd.DataFrame({
-                "doc_id": frame["doc_id"].astype("Int64"), "n": [len(i) // 4 for i in ids], "tie": [zlib.crc32(i) for i in ids],
-                "frame": [tool.compress(packed_ids(i, width)) for i in ids],
-            })
+            sizes, ties, made = [], [], []
+            for body in frame["text"]:
+                ids = (use.ids(body) if body else b"") + end
+                sizes.append(len(ids) // 4)
+                ties.append(zlib.crc32(ids))
+                made.append(tool.compress(packed_ids(ids, width)))
+            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "n": sizes, "tie": ties, "frame": made})
 
     # the ranges are sampled and then dealt: written first, or every text would be encoded twice
     encoded = written(named.mapInPandas(compress, "doc_id long, n long, tie long, frame binary"), "frames")

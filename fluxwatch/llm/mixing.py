@@ -50,26 +50,28 @@ def copies(size: str, source_size: str, target: str, key: F.Column, seed: str =
     return (F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).cast("long")
 
 
-def planned(docs: DataFrame, source: str = "source", text: str = "text", key: str = "doc_id", share: float = SHARE, most: float = MOST, weights: tuple = WEIGHTS) -> DataFrame:
-    """``docs`` with ``size, source_size, target, copies``; existing columns of those names are replaced.
+def planned(docs: DataFrame, source: str = "source", text: str = "text", key: str = "doc_id", share: float = SHARE, most: float = MOST, weights: tuple = WEIGHTS, prefix: str = "") -> DataFrame:
+    """``docs`` with ``size, source_size, target, copies``, each name behind ``prefix``; columns
+    of these names are replaced.
 
     Rows are counted twice from the scan: once summed per source with partial sums, once
     joined with the one row per source. No document moves unless the sources outgrow a
     broadcast; the join is then split by Spark where a source is hot. Repeated rows of one
     key get the same draw; an empty table gives an empty result.
     """
-    named = docs.drop("size", "source_size", "target", "copies").withColumn("size", word_count(text))
-    sums = named.groupBy(F.col(source).alias("source")).agg(F.sum("size").alias("source_size"))
-    plan = rates(sums, share, most, weights).withColumnRenamed("source", "_source")
-    return (
-        named.join(plan, named[source].eqNullSafe(plan["_source"]), "left").drop("_source")
-        .withColumn("copies", copies("size", "source_size", "target", F.col(key)))
-    )
+    size, whole, target, times = (prefix + name for name in ("size", "source_size", "target", "copies"))
+    named = docs.drop(size, whole, target, times).withColumn(size, word_count(text))
+    sums = named.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("source_size"))
+    plan = rates(sums, share, most, weights).select(F.col("source").alias("_source"), F.col("source_size").alias(whole), F.col("target").alias(target))
+    joined = named.join(plan, named[source].eqNullSafe(plan["_source"]), "left").drop(plan["_source"])
+    return joined.withColumn(times, copies(size, whole, target, F.col(key)))
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row as often as the plan says, in the columns of ``docs``."""
-    return planned(docs, **options).withColumn("_copy", F.explode(F.when(F.col("copies") > 0, F.sequence(F.lit(1).cast("long"), F.col("copies"))))).select(*docs.columns)
+    plan = planned(docs, **options, prefix="_mix_")
+    again = F.expr("sequence(1L, _mix_copies)")
+    return plan.where("_mix_copies > 0").withColumn("_mix_copy", F.explode(again)).select(*docs.columns)
 
 
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:

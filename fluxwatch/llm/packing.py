@@ -26,6 +26,7 @@ CAPACITY, END_ID = 4096, 2
 STEP = 8
 #: The program counts as solved when no solution can be better by this share (Farley's bound).
 GAP = 1e-3
+STEPS, SHIFT = 12, 1e-3
 
 
 def price(duals: np.ndarray, units: int) -> tuple[float, np.ndarray]:
@@ -54,39 +55,39 @@ def price(duals: np.ndarray, units: int) -> tuple[float, np.ndarray]:
 def solve(demand: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (rows over the classes) and how often each is used, real numbers.
 
-    Revised simplex on: every class is covered, fewest sequences. The demand is shifted by
-    tiny, distinct amounts, so that no step is degenerate.
+    Revised simplex on: every class is covered, fewest sequences. The demand is shifted by small
+    uneven amounts, so that steps are not degenerate. Every basis covers the demand, so the
+    search may end early: after ``STEPS`` steps a class, or when the bound proves it near enough.
     """
     units = len(demand)
     present = np.flatnonzero(demand)
     m = len(present)
     if not m:
         return np.zeros((0, units), np.int64), np.zeros(0)
-    want = demand[present] + 1e-7 * (1 + np.arange(m) / m)
+    want = demand[present] + SHIFT * np.random.default_rng(m).uniform(0.5, 1, m)
     basis = np.zeros((m, units), np.int64)
     basis[np.arange(m), present] = units // (present + 1)
     inverse = np.diag(1.0 / basis[np.arange(m), present])
-    amount = inverse @ want
-    steps = 0
-    while True:
-        dual = inverse.sum(axis=0)
+    amount = np.maximum(inverse @ want, 0)
+    for step in range(1, STEPS * m + 1):
         full = np.zeros(units)
-        full[present] = dual
+        full[present] = inverse.sum(axis=0)
         worth, pattern = price(full, units)
         if worth <= 1 + GAP:  # the bound is the present value over the best worth
-            return basis, np.maximum(amount, 0)
+            break
         column = inverse @ pattern[present]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            ratio = np.where(column > 1e-9, amount / column, np.inf)
-        out = int(ratio.argmin())
+        rising = np.flatnonzero(column > 1e-9)
+        if not len(rising):
+            break
+        out = int(rising[(amount[rising] / column[rising]).argmin()])
         basis[out] = pattern
         inverse[out] /= column[out]
         others = np.arange(m) != out
         inverse[others] -= np.outer(column[others], inverse[out])
-        steps += 1
-        if steps % 200 == 0:  # rounding errors add up
+        if step % 100 == 0:  # rounding errors add up
             inverse = np.linalg.inv(basis[:, present].T.astype(float))
-        amount = inverse @ want
+        amount = np.maximum(inverse @ want, 0)
+    return basis, amount
 
 
 def fitted(sizes: list[int], units: int) -> list[Counter]:

@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fluxwatch.llm.common import WORD_BYTES, Groups, components, table
@@ -262,22 +262,32 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius:
     repeated; an empty table gives an empty result. Other columns are left out.
     """
     marked = written(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text")), "_text").select("doc_id", "fp"), "fingerprints")
-    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    joined = components(links(distinct))
-    named = distinct.join(joined, distinct["fp"] == joined["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    lookup = named.join(ids, "component").select("fp", "component_id")
-    return marked.join(lookup, "fp").select("doc_id", "fp", "component_id")
-
-
-def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: the one of the smallest id, of rows that share
-    that id the one of the smallest text hash. Extra columns stay as they are."""
-    found = classes(docs, doc_id, text)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(keep, docs[doc_id].eqNullSafe(keep["_id"]), "left_semi")
-    first = Window.partitionBy(doc_id).orderBy(F.xxhash64(text))
-    return kept.withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row")
+    lookup = _members(marked, F.min("doc_id").alias("component_id"), radius)
+    return marked.join(lookup.select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def _members(marked: DataFrame, least: Column, radius: int) -> DataFrame:
+    """Each distinct fingerprint with its component and the aggregate ``least`` over the component's rows."""
+    name = "_least"
+    distinct = written(marked.groupBy("fp").agg(least.alias(name)), "distinct")
+    joined = components(links(distinct, radius=radius))
+    named = distinct.join(joined, distinct["fp"] == joined["node"], "left").select("fp", name, F.coalesce("component", "fp").alias("component"))
+    return named.join(named.groupBy("component").agg(F.min(name).alias("component_id")), "component")
+
+
+def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one document of each group of linked fingerprints: the one of the smallest id,
+    of rows that share it the one of the smallest text hash. A null id counts as the largest.
+    Columns stay as they are; texts move once, to meet the list of those that stay.
+    """
+    keys = {"_keep_d": F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1)), "_keep_h": F.xxhash64(F.col(text))}
+    keyed = docs.withColumns(keys)
+    marked = written(fingerprints(keyed.select("_keep_d", "_keep_h", F.col(text).alias("_text")), "_text").select("_keep_d", "_keep_h", "fp"), "fingerprints")
+    named = _members(marked, F.min(F.struct("_keep_d", "_keep_h")), radius)
+    keep = named.select("component_id.*").distinct()
+    first = Window.partitionBy("_keep_d", "_keep_h").orderBy(F.lit(0))
+    kept = keyed.join(keep, ["_keep_d", "_keep_h"], "left_semi").withColumn("_keep_row", F.row_number().over(first)).where("_keep_row = 1")
+    return kept.select(*docs.columns)
 
 
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:

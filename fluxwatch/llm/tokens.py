@@ -49,7 +49,7 @@ SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 SEGMENT_CHARS = 1 << 20
 BATCH_BYTES = 1 << 20
-REMEMBERED, LONGEST = 400_000, 48
+REMEMBERED, LONGEST = 200_000, 48
 #: Words that are one word to both families' patterns and that only lower-casing normalises.
 SIMPLE = re.compile(rf" ?[{LETTER}]+")
 
