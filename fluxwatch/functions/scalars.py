@@ -61,7 +61,9 @@ def fixed_one(value: Column) -> Column:
 def short_number(value: Column) -> Column:
     """1234567 -> 1.2M, 1234 -> 1.2K, 999.4 -> 999."""
     return (
-        F.when(value >= 1e6, F.concat(fixed_one(value / F.lit(1e6)), F.lit("M")))
+        # NaN is above every number here
+        F.when(F.isnan(value.cast("double")), F.lit("NaN"))
+        .when(value >= 1e6, F.concat(fixed_one(value / F.lit(1e6)), F.lit("M")))
         .when(value >= 1e3, F.concat(fixed_one(value / F.lit(1e3)), F.lit("K")))
         .otherwise(F.floor(value + F.lit(0.5)).cast("string"))
     )

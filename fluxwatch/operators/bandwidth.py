@@ -27,9 +27,9 @@ def bandwidth_series(
         return F.coalesce(F.sum(seen), F.lit(0).cast("long"))
 
     if strict_columns:
-        rows = packets.select("direction").distinct().collect()
-        found = sorted(r[0] for r in rows if r[0] is not None)
-        if not set(_NAMES) <= set(found):
+        seen = packets.agg(*[F.max(F.col("direction") == d).alias(d) for d in _NAMES]).first()
+        found = sorted(d for d in _NAMES if seen[d])
+        if len(found) < len(_NAMES):
             return packets.groupBy(*by, bucket).agg(*[volume(d).alias(d) for d in found])
     sums = packets.groupBy(*by, bucket).agg(*[volume(d).alias(n) for d, n in _NAMES.items()])
     total = F.col("tx_bytes_per_sec") + F.col("rx_bytes_per_sec")

@@ -48,13 +48,15 @@ def attach_metadata(
 ) -> DataFrame:
     """Left-joins per-key metadata; a flow without any gets the label Normal.
 
-    ``meta`` must hold one row per key. Its size is not known here, so it is not
+    Of several ``meta`` rows for one key the smallest counts, so no flow is doubled. The size of ``meta`` is not known here, so it is not
     broadcast by hint: Spark does so where its statistics show that it fits. For
     the other case, keys with more than ``max_rows`` flows are split: their flows
     are spread over parts by a hash of the row, and their metadata row is repeated
     for each part. At most (all flows / max_rows) keys are split, which bounds the
     broadcast of their list.
     """
+    others = [c for c in meta.columns if c not in on]
+    meta = meta.groupBy(*on).agg(F.min(F.struct(*others)).alias("__row")).select(*on, "__row.*")
     sizes = flows.groupBy(*on).agg(F.count("*").alias("__n")).filter(F.col("__n") > max_rows)
     split = F.broadcast(
         sizes.select(

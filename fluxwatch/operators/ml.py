@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fluxwatch.config import ForestConfig
 from fluxwatch.operators.stats import confusion
 from fluxwatch.schemas import FEATURES
+from fluxwatch.session import written
 
 UNKNOWN = "__unknown"
 
@@ -136,7 +137,9 @@ def train(
         started = time.monotonic()
         model = forest_pipeline(labels, config).fit(train_rows)
         seconds = time.monotonic() - started
-        table = confusion(score(model, test_rows), "Attack_Type", "predicted_attack")
+        # written once: neither the metrics nor the caller build the features again
+        scored = written(score(model, test_rows).drop("features", "rawPrediction", "probability"), "scored")
+        table = written(confusion(scored, "Attack_Type", "predicted_attack"), "confusion")
         result = classification_metrics(table, "Attack_Type", "predicted_attack").first()
     finally:
         kept.unpersist()
@@ -147,9 +150,15 @@ def train(
         "trainingTimeSec": round(seconds, 3),
         "iatUnit": iat_unit,
     }
-    return Training(
-        model, labels, score(model, test_rows), table, metrics, feature_importance(spark, model)
-    )
+    return Training(model, labels, scored, table, metrics, feature_importance(spark, model))
+
+
+def in_unit(flows: DataFrame, unit: str) -> DataFrame:
+    """Gap features from milliseconds into the unit a model was trained on."""
+    if unit not in ("s", "ms"):
+        raise ValueError(f"unknown unit of gaps {unit!r}")
+    gaps = [c for c in FEATURES if c.startswith("Flow_IAT_")]
+    return flows.withColumns({c: F.col(c) / 1000.0 for c in gaps}) if unit == "s" else flows
 
 
 def check_iat_unit(metrics: dict, iat_unit: str) -> None:

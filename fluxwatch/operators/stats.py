@@ -110,10 +110,8 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-# Rows one ordered task should handle, and the most slices to cut. Beyond
-# ROWS_PER_SLICE * MAX_SLICES rows the slices grow, and their sort spills to disk.
+# Rows one ordered task should handle.
 ROWS_PER_SLICE = 2_000_000
-MAX_SLICES = 10_000
 
 
 def time_slices(df: DataFrame, time: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
@@ -123,7 +121,7 @@ def time_slices(df: DataFrame, time: str, rows_per_slice: int = ROWS_PER_SLICE)
     the bounds reach the driver. Equal counts, not equal widths, so a busy
     period is cut as finely as it needs.
     """
-    parts = min(-(-df.count() // rows_per_slice), MAX_SLICES)
+    parts = -(-df.count() // rows_per_slice)
     if parts <= 1:
         return df.withColumn("__slice", F.lit(0.0))
     numeric = df.withColumn("__t", F.col(time).cast("double"))

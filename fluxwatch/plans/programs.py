@@ -52,7 +52,11 @@ def detect(
     trigger: str | None = WindowConfig.trigger,
     show: bool = False,
 ) -> list[StreamingQuery]:
-    """Rule alerts and window statistics, each to files, to its topic and to the console."""
+    """Rule alerts and window statistics, each to files, to its topic and to the console.
+
+    A running job publishes a window once, when it closes. A run that stops at the end of its
+    input (``trigger`` None) publishes the windows it has seen, closed or not.
+    """
     raw = messages(spark, source, topic, "earliest")
 
     def sinks(name: str, target: str) -> list:
@@ -68,7 +72,7 @@ def detect(
         jobs.stream_flow_stats(decode_flows(raw)),
         sinks("statistics", TOPIC_STATS),
         f"{out}/checkpoints/statistics",
-        "update",
+        "update" if trigger is None else "append",
         trigger,
     )
     return [alerts, stats]
@@ -82,10 +86,17 @@ def score(
     topic: str | None = None,
     trigger: str | None = WindowConfig.trigger,
 ) -> StreamingQuery:
-    """Model alerts of every message, to the alert topic or to files."""
-    rows = jobs.score_messages(messages(spark, source, topic, "latest"), readers.load_model(model))
+    """Model alerts of every message, to the alert topic or to files.
+
+    Messages hold gaps in milliseconds; they are converted to the unit that the metrics
+    beside the model name.
+    """
+    evaluation, _ = readers.read_metrics(spark, f"{model.rstrip('/').rpartition('/')[0]}/metrics")
+    stored = evaluation.first()
+    unit = (stored["iatUnit"] if stored else None) or "ms"
+    rows = jobs.score_messages(messages(spark, source, topic, "latest"), readers.load_model(model), iat_unit=unit)
     if topic:
-        return writers.write_topic(as_json(rows), source, TOPIC_ALERTS, f"{out}/checkpoints/score")
+        return writers.write_topic(as_json(rows), source, TOPIC_ALERTS, f"{out}/checkpoints/score", trigger)
     return jobs.fan_out(rows, [jobs.jsonl_sink(f"{out}/scored")], f"{out}/checkpoints/score", trigger=trigger)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ def decode_flows(
     """Flow columns of a JSON message column (text or bytes).
 
     ``strict`` drops what does not decode and fills missing fields with their
-    defaults. ``permissive`` keeps every message: a broken one becomes a row of
+    defaults; numbers given as text, and fractions in integer fields, are converted. ``permissive`` keeps every message: a broken one becomes a row of
     zeros whose texts and flags are null. Unknown keys are ignored in both.
     ``keep`` names message columns to carry along.
     """
@@ -32,7 +32,9 @@ def decode_flows(
         return zero_fill(messages.select(*carried, F.inline(F.array(flow))), FLOW_NUMBERS)
     if mode != "strict":
         raise ValueError(f"unknown mode {mode!r}")
-    marked = T.StructType([*FLOW.fields, T.StructField(_BAD, T.StringType())])
+    # numbers are taken as text first: a wrong type then costs the value, not the record
+    texts = [T.StructField(f.name, T.StringType()) if f.name in FLOW_NUMBERS else f for f in FLOW.fields]
+    marked = T.StructType([*texts, T.StructField(_BAD, T.StringType())])
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": _BAD,
@@ -42,10 +44,20 @@ def decode_flows(
     # unpacked by a generator, so that later filters are not pushed below it and
     # each message is parsed once, however often its fields are used
     rows = messages.select(*carried, F.inline(F.array_compact(F.array(flow))))
+    types = {f.name: f.dataType for f in FLOW.fields}
+
+    def number(name: str) -> Column:
+        given, dtype = F.col(name), types[name]
+        return F.coalesce(given.try_cast(dtype), given.try_cast("double").try_cast(dtype))
+
+    sound = F.col(_BAD).isNull()
+    for name in FLOW_NUMBERS:
+        sound = sound & (F.col(name).isNull() | number(name).isNotNull())
     filled = [
-        F.coalesce(F.col(name), F.lit(default)).alias(name) for name, default in FLOW_DEFAULTS.items()
+        F.coalesce(number(name) if name in FLOW_NUMBERS else F.col(name), F.lit(default)).alias(name)
+        for name, default in FLOW_DEFAULTS.items()
     ]
-    return rows.filter(F.col(_BAD).isNull()).select(*carried, *filled)
+    return rows.filter(sound).select(*carried, *filled)
 
 
 FLOW_NUMBERS = [f.name for f in FLOW.fields if isinstance(f.dataType, T.NumericType)]

@@ -22,40 +22,52 @@ def read_packets(spark: SparkSession, path: str | list[str]) -> DataFrame:
     first = path if isinstance(path, str) else path[0]
     if first.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(*([path] if isinstance(path, str) else path))
-    raw = spark.read.schema(PACKET).option("header", True).csv(path)
-    return _pqc_flag(raw, "pqc_enabled")
+    return _pqc_flag(_by_header(spark, path, PACKET), "pqc_enabled")
 
 
 def read_labelled_flows(spark: SparkSession, path: str) -> DataFrame:
     """Labelled flow records, CSV with a header."""
-    raw = spark.read.schema(LABELLED_FLOW).option("header", True).csv(path)
-    return _pqc_flag(raw, "PQC_Enabled")
+    return _pqc_flag(_by_header(spark, path, LABELLED_FLOW), "PQC_Enabled")
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
+def _header(spark: SparkSession, path: str | list[str], **options) -> list[str]:
     """Column names of a CSV (first line only)."""
-    line = spark.read.text(path).limit(1).first()
+    line = spark.read.options(**options).text(path).limit(1).first()
     return [] if line is None else [c.strip() for c in line[0].split(",")]
 
 
+def _by_header(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, extra: dict | None = None, **options
+) -> DataFrame:
+    """CSV columns by the names of the header, whatever their order. A column the file lacks
+    is null, others are left out; files below one path whose headers differ are refused.
+    ``extra`` adds metadata columns."""
+    names = _header(spark, path, **options)
+    if not names:
+        return spark.createDataFrame([], schema).withColumns({k: F.lit(None) for k in extra or {}})
+    known = {f.name: f for f in schema}
+    found = T.StructType([known.get(n, T.StructField(n, T.StringType())) for n in names])
+    raw = spark.read.schema(found).options(header=True, enforceSchema=False, **options).csv(path)
+    columns = [F.col(f.name) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return raw.select(*columns, *[c.alias(k) for k, c in (extra or {}).items()])
+
+
 def read_training(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Flow rows for training from either file format, told apart by the header."""
+    """Flow rows for training from either kind of file, CSV or Parquet, told apart by the columns."""
+    if path.rstrip("/").endswith(".parquet"):
+        return training_flows(spark.read.parquet(path), **options)
     per_packet = "packet_size_bytes" in _header(spark, path)
     raw = read_packets(spark, path) if per_packet else read_labelled_flows(spark, path)
     return training_flows(raw, **options)
 
 
 def read_runs(spark: SparkSession, folder: str, pattern: str = r"run-(\d+)") -> DataFrame:
-    """Packet logs of many runs below one folder, with the ``run_id`` of their path."""
-    raw = (
-        spark.read.schema(PACKET)
-        .option("header", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .csv(folder)
-    )
-    run = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).try_cast("long")
-    return _pqc_flag(raw.withColumn("run_id", run), "pqc_enabled")
+    """Packet logs of many runs below one folder, with the ``run_id`` of their path.
+
+    The last match in the path counts, so folders above the runs may be named alike."""
+    run = F.regexp_extract(F.col("_metadata.file_path"), f".*{pattern}", 1).try_cast("long")
+    raw = _by_header(spark, folder, PACKET, {"run_id": run}, recursiveFileLookup=True, pathGlobFilter="*.csv")
+    return _pqc_flag(raw, "pqc_enabled")
 
 
 def read_flow_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,7 +132,7 @@ def load_model(path: str) -> PipelineModel:
 _METRICS = T.StructType(
     [T.StructField(n, T.DoubleType()) for n in ("accuracy", "precision", "recall", "f1")]
     + [T.StructField(n, T.IntegerType()) for n in ("numTrees", "maxDepth")]
-    + [T.StructField("trainingTimeSec", T.DoubleType())]
+    + [T.StructField("trainingTimeSec", T.DoubleType()), T.StructField("iatUnit", T.StringType())]
 )
 _IMPORTANCE = T.StructType(
     [T.StructField("feature", T.StringType()), T.StructField("importance", T.DoubleType())]

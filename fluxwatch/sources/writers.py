@@ -14,19 +14,22 @@ from fluxwatch.operators.alerts import as_json
 from fluxwatch.sources.readers import read_packets
 
 
-def write_topic(df: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
+def write_topic(
+    df: DataFrame, servers: str, topic: str, checkpoint: str, trigger: str | None = WindowConfig.trigger
+) -> StreamingQuery:
     """Streams a ``value`` (and optional ``key``) column to a topic, at least once.
 
-    Needs the Kafka connector on the classpath.
+    ``trigger`` None writes what is there and stops. Needs the Kafka connector on the classpath.
     """
-    return (
+    writer = (
         df.writeStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .start()
     )
+    timed = writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)
+    return timed.start()
 
 
 def publish(df: DataFrame, servers: str, topic: str) -> None:

@@ -13,7 +13,7 @@ from fluxwatch.config import WindowConfig
 from fluxwatch.functions.rules import classify_rules
 from fluxwatch.functions.scalars import zero_fill
 from fluxwatch.operators.alerts import as_json, to_alerts, to_ml_alerts
-from fluxwatch.operators.ml import score
+from fluxwatch.operators.ml import in_unit, score
 from fluxwatch.operators.stats import windowed_stats
 from fluxwatch.schemas import TRAINING_NAMES
 from fluxwatch.sources.decode import decode_flows, to_training_names
@@ -41,11 +41,14 @@ def stream_flow_stats(
 
 
 def score_messages(
-    messages: DataFrame, model: PipelineModel, timestamp=None, keep: list[str] | None = None
+    messages: DataFrame, model: PipelineModel, timestamp=None, keep: list[str] | None = None, iat_unit: str = "ms"
 ) -> DataFrame:
-    """JSON messages -> model alerts; every message is scored, also a broken one."""
+    """JSON messages -> model alerts; every message is scored, also a broken one.
+
+    ``iat_unit`` is the unit of gaps the model was trained on; messages hold milliseconds.
+    """
     flows = decode_flows(messages, "permissive", keep=keep)
-    named = zero_fill(to_training_names(flows, TRAINING_NAMES))
+    named = in_unit(zero_fill(to_training_names(flows, TRAINING_NAMES)), iat_unit)
     return to_ml_alerts(score(model, named), timestamp)
 
 

@@ -22,7 +22,7 @@ def messages(spark, texts):
 
 
 GOOD = json.dumps({"flow_id": 7, "flow_bytes_s": 3.5, "pqc_enabled": True, "vendor": "x"})
-BAD = ["{bad", "[1]", None, "", "7", json.dumps({"flow_id": "12"}), json.dumps({"flow_id": 3.5}), json.dumps({"flow_bytes_s": []})]
+BAD = ["{bad", "[1]", None, "", "7", json.dumps({"flow_id": "x"}), json.dumps({"flow_id": 1e12}), json.dumps({"flow_bytes_s": []})]
 
 
 def test_strict_drops_what_does_not_decode(spark):
@@ -32,6 +32,13 @@ def test_strict_drops_what_does_not_decode(spark):
     assert row == {**FLOW_DEFAULTS, "flow_id": 7, "flow_bytes_s": 3.5, "pqc_enabled": True}
 
 
+def test_strict_converts_numbers(spark):
+    given = [{"flow_id": "12", "flow_bytes_s": "2.5"}, {"flow_id": 3.0}, {"flow_id": 3.7, "total_fwd_packets": None}]
+    messages = spark.createDataFrame([(json.dumps(g),) for g in given], "value string")
+    found = [(r["flow_id"], r["flow_bytes_s"], r["total_fwd_packets"]) for r in decode_flows(messages).collect()]
+    assert found == [(12, 2.5, 0), (3, 0.0, 0), (3, 0.0, 0)]
+
+
 def test_an_empty_object_is_all_defaults(spark):
     assert decode_flows(messages(spark, ["{}"])).first().asDict() == FLOW_DEFAULTS
 
@@ -103,6 +110,29 @@ def test_runs_are_told_apart(spark, tmp_path):
     assert counts == {1: 1, 12: 3}
 
 
+def test_columns_go_by_the_header(spark, tmp_path):
+    names = [n for n in PACKET.names if n != "sig_sign_ms"]
+    names[0], names[1] = names[1], names[0]
+    values = {n: "1" for n in names} | {"timestamp_s": "0.5", "flow_id": "7", "direction": "tx"}
+    (tmp_path / "p.csv").write_text(",".join([*names, "extra"]) + "\n" + ",".join([*(values[n] for n in names), "x"]) + "\n")
+    row = readers.read_packets(spark, str(tmp_path / "p.csv")).first()
+    assert (row["flow_id"], row["timestamp_s"], row["sig_sign_ms"]) == (7, 0.5, None) and "extra" not in row
+
+
+def test_the_last_run_in_a_path_counts(spark, tmp_path):
+    for run in (3, 4):
+        folder = tmp_path / "run-2024" / f"run-{run}"
+        folder.mkdir(parents=True)
+        (folder / "p.csv").write_text(",".join(PACKET.names) + "\n" + ",".join(["1"] * len(PACKET.names)) + "\n")
+    assert sorted(r["run_id"] for r in readers.read_runs(spark, str(tmp_path)).collect()) == [3, 4]
+
+
+def test_training_from_parquet(spark, tmp_path):
+    rows = spark.createDataFrame([(1.0, 5, "a", "b", 1, 100, "tx", "Normal", True, 0.1, 0.1, 0.1)], ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PACKET).replace("pqc_enabled int", "pqc_enabled boolean"))
+    rows.write.parquet(str(tmp_path / "p.parquet"))
+    assert readers.read_training(spark, str(tmp_path / "p.parquet")).first()["Total_Fwd_Packets"] == 1
+
+
 def test_flow_files(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"flow-{i}.json").write_text(json.dumps({"flow_id": i, "flow_bytes_s": 1.5}, indent=2))
