@@ -115,9 +115,12 @@ def _solve_in_task(blocks: DataFrame, by: list[str], model, rounds: int) -> Data
         data = _cells(chunk)
         p = np.asarray(chunk["p"].tolist(), float)
         for _ in range(rounds):
-            p = model.update(p, model.sums(p, data, model.enter(p), model.leave(p)))
-            if np.all(p[:, -1] <= SETTLED):
+            # a settled series stays as it is, whatever its neighbours in the batch need
+            going = ~(p[:, -1] <= SETTLED)
+            if not going.any():
                 break
+            moved = model.update(p, model.sums(p, data, model.enter(p), model.leave(p)))
+            p = np.where(going[:, None], moved, p)
         return [p]
 
     return _map_chunks(blocks, [*by, "start"], ["p"], work)
@@ -224,7 +227,7 @@ def _round(blocks: DataFrame, params: DataFrame, by: list[str], model, grouped:
         for batch in batches:
             p, s = (np.asarray(batch[c].tolist(), float) for c in ("p", "s"))
             with np.errstate(all="ignore"):
-                yield batch[by].assign(p=list(model.update(p, s)))
+                yield batch[by].assign(p=list(np.where(p[:, -1:] <= SETTLED, p, model.update(p, s))))
 
     return summed.mapInPandas(step, schema)
 

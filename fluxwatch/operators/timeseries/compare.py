@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -13,7 +14,7 @@ from fluxwatch.operators.timeseries.frame import KEY, test_rows
 from fluxwatch.operators.timeseries.linear import fit_arima, fit_arma, fit_sarima, fit_var, forecast
 from fluxwatch.operators.timeseries.regimes import fit_switching
 from fluxwatch.operators.timeseries.volatility import fit_arch, fit_garch
-from fluxwatch.session import written
+from fluxwatch.session import shared_dir, written
 
 FITS = {
     "ARMA(1,1)": fit_arma,
@@ -41,11 +42,16 @@ def fit_models(frame: DataFrame, names: list[str] | None = None, by: list[str] |
     took over all series. Each fit is written out once, which is also its timing."""
     by = by or KEY
     kept = frame.persist(StorageLevel.MEMORY_AND_DISK)
-    done: list[DataFrame] = []
-    for name in names or list(FITS):
+    shared_dir(frame.sparkSession)  # settled before the threads need it
+
+    def fit(name: str) -> DataFrame:
         begun = time.monotonic()
         rows = written(FITS[name](kept, by=by), "fit")
-        done.append(rows.withColumn("fit_seconds", F.lit(time.monotonic() - begun)))
+        return rows.withColumn("fit_seconds", F.lit(time.monotonic() - begun))
+
+    # a fit is a chain of small jobs: side by side they share the cores
+    with ThreadPoolExecutor(max_workers=len(FITS)) as pool:
+        done = list(pool.map(fit, names or list(FITS)))
     kept.unpersist()
     return reduce(DataFrame.unionByName, done)
 

@@ -5,10 +5,11 @@ products of lagged values and its first and last few rows; Spark aggregates
 those (partial sums per task, a few dozen numbers per series), and a small
 numpy step per series solves for the coefficients.
 
-The ARMA family minimises the conditional sum of squares. With coefficients
-``pi`` of the inverse filter, cut after ``DEPTH`` lags, the residual is a
-weighted sum of lagged values and the sum of squares is the quadratic form
-``pi' G pi``. ``G`` follows from the lagged sums and the last rows.
+The ARMA family minimises the conditional sum of squares of the full residual
+recursion (``recursion``). A good starting point is cheap: with coefficients ``pi`` of
+the inverse filter, cut after ``DEPTH`` lags, the residual is a weighted sum of
+lagged values and the sum of squares nearly the quadratic form ``pi' G pi``,
+where ``G`` follows from the lagged sums and the last rows.
 """
 
 from __future__ import annotations
@@ -21,9 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fluxwatch.operators.timeseries import recursion
 from fluxwatch.operators.timeseries.frame import BLOCK, KEY, lagged, train_rows
+from fluxwatch.session import written
 
-# Lags of the inverse filter, and of the season.
+# Lags of the inverse filter that a starting point looks at, and of the season.
 DEPTH = 24
 SEASON = 10
 
@@ -56,6 +59,7 @@ def lag_sums(frame: DataFrame, value: str, by: list[str], difference: bool = Fal
         .groupBy(*by)
         .agg(
             F.count("*").alias("nobs"),
+            F.count_if(~F.coalesce(F.abs(lag[0].cast("double")) < float("inf"), F.lit(False))).alias("unusable"),
             F.sum(lag[0]).alias("total"),
             F.array(*[F.coalesce(F.sum(lag[0] * x), F.lit(0.0)) for x in lag]).alias("sums"),
             some(position < DEPTH).alias("head"),
@@ -144,14 +148,13 @@ def gaussian_llf(squares: float, nobs: int) -> float:
     return -0.5 * nobs * (np.log(2 * np.pi * squares / nobs) + 1)
 
 
-def _arma_state(kind: str, phi, theta, seasonal, w: np.ndarray, mean: float, last: float):
+def _arma_state(kind: str, phi, theta, seasonal, w: np.ndarray, mean: float, last: float, last_e: float):
     """First forecast and the linear recurrence that continues it.
 
     The forecast at step h is the first entry of ``matrix^(h-1) @ state``.
     """
-    pi = _inverse_filter(phi, theta, seasonal)
     past = np.r_[w[::-1], np.zeros(DEPTH)][:DEPTH]
-    ahead = -float(pi[1:] @ past)
+    ahead = float(phi * past[0] + seasonal * past[SEASON - 1] - phi * seasonal * past[SEASON] + theta * last_e)
     if kind == "arma":
         # (forecast, deviation from the mean, 1)
         return [mean + ahead, ahead, 1.0], [[0.0, phi, mean], [0.0, phi, 0.0], [0.0, 0.0, 1.0]]
@@ -202,18 +205,25 @@ def _fit_arma(frame: DataFrame, value: str, by: list[str] | None, name: str, k:
     by = by or KEY
     kind = "arma" if name.startswith("ARMA") else "arima"
 
-    def fit(row: pd.Series) -> dict:
+    def usable(row: pd.Series) -> tuple[float, np.ndarray, np.ndarray]:
+        """Mean taken off, lagged sums and last values without it."""
         nobs = int(row["nobs"])
         sums, head, tail = (np.asarray(row[c], float) for c in ("sums", "head", "tail"))
-        if nobs < 4 + k:
-            raise ValueError("series too short")
+        if nobs < 4 + k or row["unusable"]:
+            raise ValueError("series too short, or with values that are no numbers")
         mean, w = 0.0, tail
         if kind == "arma":
             mean, sums, w = _centre(nobs, row["total"], sums, head, tail)
         if not sums[0] > 0:
             raise ValueError("constant series")
-        (phi, theta, seasonal), squares = _least_squares(_quadratic(sums, w), free)
-        state, matrix = _arma_state(kind, phi, theta, seasonal, w, mean, row["last"])
+        return mean, sums, w
+
+    def fit(row: pd.Series) -> dict:
+        if row["p"] is None or not row["converged"]:
+            raise ValueError("not fitted")
+        mean, _, w = usable(row)
+        nobs, squares, (phi, theta, seasonal) = int(row["nobs"]), row["squares"], row["p"]
+        state, matrix = _arma_state(kind, phi, theta, seasonal, w, mean, row["last"], row["last_e"])
         found = [phi, theta] + ([seasonal] if free == 3 else []) + ([mean] if kind == "arma" else [])
         return {
             "model": name, "k": k, "nobs": nobs,
@@ -223,8 +233,25 @@ def _fit_arma(frame: DataFrame, value: str, by: list[str] | None, name: str, k:
             "matrix": np.asarray(matrix).ravel().tolist(),
         }
 
-    sums = lag_sums(frame, value, by, difference=kind == "arima")
-    return per_series(sums, by, fit, name, k)
+    sums = written(lag_sums(frame, value, by, difference=kind == "arima"), "sums")
+    start_schema = T.StructType([sums.schema[c] for c in by] + T._parse_datatype_string("p array<double>, mean double").fields)
+
+    def starts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for row in batch.to_dict("records"):
+                try:
+                    mean, lagged_sums, w = usable(row)
+                    point, _ = _least_squares(_quadratic(lagged_sums, w), free)
+                except (ArithmeticError, ValueError, np.linalg.LinAlgError):
+                    continue
+                out.append({**{c: row[c] for c in by}, "p": point, "mean": mean})
+            yield pd.DataFrame(out, columns=start_schema.names)
+
+    points = written(sums.mapInPandas(starts, start_schema), "starts")
+    season = SEASON if free == 3 else 0
+    best = recursion.least_squares(frame, value, by, points, kind == "arima", season)
+    return per_series(sums.join(best, by, "left"), by, fit, name, k)
 
 
 def fit_arma(frame: DataFrame, value: str = "total", by: list[str] | None = None) -> DataFrame:
@@ -261,6 +288,7 @@ def var_sums(frame: DataFrame, values: tuple[str, str], by: list[str]) -> DataFr
 
     return rows.groupBy(*by).agg(
         F.count("*").alias("nobs"),
+        F.count_if(~F.coalesce(F.abs(F.col(x) + F.col(y)).cast("double") < float("inf"), F.lit(False))).alias("unusable"),
         F.array(*products).alias("products"),
         row_at(0).alias("first"),
         row_at(1).alias("second"),
@@ -293,8 +321,8 @@ def fit_var(
         g[upper] = np.asarray(row["products"], float)
         g = g + g.T - np.diag(np.diag(g))
         total = int(row["nobs"])
-        if total < 8:
-            raise ValueError("series too short")
+        if total < 8 or row["unusable"]:
+            raise ValueError("series too short, or with values that are no numbers")
         first, second = (np.asarray(row[c], float) for c in ("first", "second"))
 
         def information(p: int, squares: np.ndarray, nobs: int) -> tuple[float, float, float]:

@@ -162,6 +162,7 @@ def opening_moments(frame: DataFrame, value: str, by: list[str]) -> DataFrame:
         mean.alias("mean"),
         F.var_pop(y).alias("variance"),
         F.greatest(backcast, F.lit(0.0)).alias("backcast"),
+        F.count_if(~F.coalesce(F.abs(y) < float("inf"), F.lit(False))).alias("unusable"),
     )
 
 
@@ -169,7 +170,7 @@ def _fit(frame: DataFrame, value: str, by: list[str] | None, beta_free: bool, ro
     by = by or KEY
     name, k = ("GARCH(1,1)", 4) if beta_free else ("ARCH(1)", 3)
     moments = opening_moments(frame, value, by)
-    usable = moments.filter((F.col("nobs") >= 4 + k) & (F.col("variance") > 0))
+    usable = moments.filter((F.col("nobs") >= 4 + k) & (F.col("variance") > 0) & (F.col("unusable") == 0))
     starts = F.explode(
         F.array(
             *[
@@ -189,7 +190,9 @@ def _fit(frame: DataFrame, value: str, by: list[str] | None, beta_free: bool, ro
         ).alias("p"),
     )
     fitted = fit_blocks(frame, value, params, by, Garch(beta_free), rounds)
-    best = fitted.groupBy(*by).agg(F.max_by("p", F.element_at("p", _LLF + 1)).alias("p"))
+    # a start whose likelihood was never finite is no fit
+    finite = fitted.filter(F.element_at("p", _LLF + 1) > -1e299)
+    best = finite.groupBy(*by).agg(F.max_by("p", F.element_at("p", _LLF + 1)).alias("p"))
     llf, nobs = F.element_at("p", _LLF + 1), F.col("nobs")
     found = moments.join(best, by, "left").select(
         *by,

@@ -17,8 +17,9 @@ def spark():
 @pytest.fixture
 def small_blocks(monkeypatch):
     """Cuts series into blocks of 64 positions, groups of 3 blocks."""
-    from fluxwatch.operators.timeseries import blocks, frame, linear, volatility
+    from fluxwatch.operators.timeseries import blocks, frame, linear, recursion, volatility
 
-    for module in (blocks, frame, linear, volatility):
+    for module in (blocks, frame, linear, recursion, volatility):
         monkeypatch.setattr(module, "BLOCK", 64)
-    monkeypatch.setattr(blocks, "FAN", 3)
+    for module in (blocks, recursion):
+        monkeypatch.setattr(module, "FAN", 3)
