@@ -206,7 +206,7 @@ def read_ids(spark: SparkSession, folder: str, keep_ids: bool = False) -> DataFr
 
 def lookup(spark: SparkSession, folder: str, doc_id: int) -> np.ndarray | None:
     """The ids of one document: one block is read, one frame of it decompressed."""
-    found = spark.read.schema(BLOCKS_DDL).parquet(f"{folder}/blocks").where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id))
+    found = spark.read.schema(BLOCKS_DDL).parquet(f"{folder}/blocks").where((F.col("first_id").isNull() | (F.col("first_id") <= doc_id)) & (F.col("last_id") >= doc_id))
     row = found.where(F.array_contains("doc_ids", doc_id)).select("doc_ids", "data").first()
     return None if row is None else read_frame(bytes(row["data"]), row["doc_ids"].index(doc_id), dictionary_of(spark, folder))
 

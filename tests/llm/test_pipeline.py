@@ -2,6 +2,7 @@
 
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -29,13 +30,25 @@ def test_native_plans_stay_in_the_jvm(spark, name):
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
 
 
-def prose(i: int, n: int = 40) -> str:
-    return " ".join(f"{a}{b}" for a, b in zip(["river", "stone", "paper", "cloud", "green"] * n, range(i * 1000, i * 1000 + n)))
+VOCABULARY = """about after again animal answer around because before between bridge brother carry children city
+clear close country course cross different during early earth enough every example family father field figure final
+follow forest friend garden general gold great green ground group happen heavy history horse hour house hundred idea
+inside island kind king knowledge land language large laugh letter light listen little machine measure middle minute
+money morning mother mountain music nation near never night north notice number object ocean often order other paper
+pattern people perhaps picture place plain plant point power present problem produce question quick rain reason record
+river road rock round school science season second sentence ship short silver simple slow small sound south special
+spring stand star stone story street strong summer surface system table teach thousand through together toward travel
+tree under until valley village voice warm watch water weather west wheel white whole winter wonder world write yellow
+young""".split()
+
+
+def prose(i: int, n: int = 60) -> str:
+    return " ".join(np.random.default_rng(i).choice(VOCABULARY, n))
 
 
 @pytest.fixture(scope="module")
 def corpus(spark):
-    shared = " ".join(f"shared passage word {k}" for k in range(20))
+    shared = "shared " + prose(900)
     rows = [(i, prose(i), "en", f"s{i % 3}", 0) for i in range(30)]
     rows += [(100 + i, f"{prose(200 + i)}\n{shared}", "en", "s0", 0) for i in range(5)]
     rows += [(200, prose(3), "en", "s1", 0), (201, prose(3) + " end", "en", "s1", 0), (300, "too short", "en", "s0", 0), (301, None, None, None, 0)]
