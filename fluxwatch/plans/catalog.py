@@ -19,7 +19,7 @@ from fluxwatch.operators import history, ml, stats
 from fluxwatch.operators.bandwidth import bandwidth_series, in_megabytes
 from fluxwatch.operators.counters import attach_metadata, flow_metrics_from_counters
 from fluxwatch.operators.features import flow_features, packet_iat
-from fluxwatch.operators.timeseries import compare, ols
+from fluxwatch.operators.timeseries import compare, ols, recursion
 from fluxwatch.operators.timeseries.anomaly import above_forecast, variance_shock
 from fluxwatch.operators.timeseries.frame import fill_gaps, lagged, series_frame, test_rows, train_rows
 from fluxwatch.operators.timeseries.linear import fit_arima, fit_var, forecast
@@ -612,3 +612,46 @@ def model_plot_rows(spark, folder):
     frame = views.frame(spark, folder)
     models = compare.fit_models(frame, ["ARMA(1,1)", "ARIMA(1,1,1)", "SARIMA", "VAR"])
     return compare.plot_rows(compare.actual_and_forecast(models, frame), frame)
+
+
+@query
+def label_index(spark, folder):
+    """Labels in the order of their index."""
+    labels = ml.index_labels(_training_rows(spark, folder)).labels
+    return spark.createDataFrame(list(enumerate(labels)), "label_index int, label string")
+
+
+@query
+def arma_forecast(spark, folder):
+    """Sum of squares, last residual and forecasts of an ARMA with given coefficients."""
+    frame = views.frame(spark, folder)
+    given = train_rows(frame).groupBy("series_id").agg(F.avg("total").alias("mean"), F.max_by("total", "idx").alias("last"))
+    points = given.select("series_id", F.array(F.lit(0.5), F.lit(-0.9), F.lit(0.0)).alias("p"), "mean")
+    # one round evaluates the starting point
+    run = recursion.least_squares(frame, "total", ["series_id"], points, False, 0, rounds=1)
+    ahead = F.lit(0.5) * (F.col("last") - F.col("mean")) + F.lit(-0.9) * F.col("last_e")
+    state = F.array(F.col("mean") + ahead, ahead, F.lit(1.0))
+    zero, one, phi = F.lit(0.0), F.lit(1.0), F.lit(0.5)
+    matrix = F.array(zero, phi, F.col("mean"), zero, phi, zero, zero, zero, one)
+    models = given.join(run, "series_id").select("series_id", F.lit("ARMA(1,1)").alias("model"), state.alias("state"), matrix.alias("matrix"), "squares", "last_e")
+    rows = forecast(models, frame).join(models.select("series_id", "squares", "last_e"), "series_id")
+    return rounded(rows, {"yhat": 6, "squares": 4, "last_e": 6}).select("series_id", "model", "step", "yhat", "squares", "last_e")
+
+
+@query
+def given_rank(spark, folder):
+    """Ranks of given criteria, ties and missing errors among them."""
+    sums = views.frame(spark, folder).groupBy("series_id").agg(F.round(F.avg("tx"), 3).alias("tx"), F.round(F.avg("rx"), 3).alias("rx"))
+    given = [("ARMA(1,1)", "tx", "rx"), ("ARIMA(1,1,1)", "rx", "tx"), ("SARIMA", "rx", "tx"), ("VAR", "tx", "tx"), ("GARCH(1,1)", None, "rx")]
+    rows = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), (F.col(r) if r else F.lit(None).cast("double")).alias("rmse"), F.col(a).alias("aic")) for m, r, a in given]))
+    table = sums.select("series_id", rows.alias("m")).select("series_id", "m.*")
+    return compare.rank_models(table)
+
+
+@query
+def naive_plot_rows(spark, folder):
+    """Plot rows of the last training value as forecast."""
+    frame = views.frame(spark, folder)
+    last = train_rows(frame).groupBy("series_id").agg(F.max_by("total", "idx").alias("yhat"))
+    compared = test_rows(frame).join(last, "series_id").select("series_id", "step", F.lit("naive").alias("model"), "yhat")
+    return compare.plot_rows(compared, frame)

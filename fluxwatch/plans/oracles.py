@@ -408,4 +408,30 @@ p AS (SELECT cen.*, intercept + slope * r_1 * r_1 AS variance FROM cen JOIN arch
 SELECT series_id, time_bucket, round(r, 7) AS r, round(variance, 7) AS variance,
   coalesce(r * r > 4 * variance, FALSE) AS is_shock FROM p""",
     "variance_run": _VARIANCE_RUN,
+    "label_index": f"""WITH {_PACKETS},
+one AS (SELECT flow_id, CASE WHEN flow_id % 35 = 0 THEN 'BURST' ELSE min(attack_type) END AS label FROM packets GROUP BY flow_id)
+SELECT CAST(row_number() OVER (ORDER BY count(*) DESC, label) - 1 AS INTEGER) AS label_index, label FROM one GROUP BY label""",
+    "arma_forecast": f"""WITH RECURSIVE {_SERIES},
+given AS (SELECT series_id, avg(total) AS m, max(idx) AS top FROM fr WHERE is_train GROUP BY series_id),
+w AS (SELECT fr.series_id, idx, total - m AS w, coalesce(total_1 - m, 0) AS w_1 FROM fr JOIN given USING (series_id) WHERE is_train),
+e AS (SELECT series_id, idx, w - 0.5::DOUBLE * w_1 AS e FROM w WHERE idx = 0
+  UNION ALL
+  SELECT w.series_id, w.idx, w.w - 0.5::DOUBLE * w.w_1 + 0.9::DOUBLE * e.e FROM e JOIN w ON w.series_id = e.series_id AND w.idx = e.idx + 1),
+done AS (SELECT series_id, sum(e * e) AS squares, arg_max(e, idx) AS last_e FROM e GROUP BY series_id),
+ahead AS (SELECT series_id, 0.5::DOUBLE * arg_max(w, idx) - 0.9::DOUBLE * any_value(last_e) AS a FROM w JOIN done USING (series_id) GROUP BY series_id)
+SELECT fr.series_id, 'ARMA(1,1)' AS model, fr.idx - top AS step, round(m + a * pow(0.5::DOUBLE, fr.idx - top - 1), 6) AS yhat,
+  round(squares, 4) AS squares, round(last_e, 6) AS last_e
+FROM fr JOIN given USING (series_id) JOIN done USING (series_id) JOIN ahead USING (series_id) WHERE NOT is_train""",
+    "given_rank": f"""WITH {_SERIES},
+s AS (SELECT series_id, round(avg(tx), 3) AS tx, round(avg(rx), 3) AS rx FROM fr GROUP BY series_id),
+t AS (SELECT series_id, 'ARMA(1,1)' AS model, tx AS rmse, rx AS aic FROM s UNION ALL SELECT series_id, 'ARIMA(1,1,1)', rx, tx FROM s
+  UNION ALL SELECT series_id, 'SARIMA', rx, tx FROM s UNION ALL SELECT series_id, 'VAR', tx, tx FROM s UNION ALL SELECT series_id, 'GARCH(1,1)', NULL, rx FROM s),
+r AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY rmse NULLS LAST, model) AS a,
+  row_number() OVER (PARTITION BY series_id ORDER BY CASE WHEN model <> 'VAR' THEN aic END NULLS LAST, model) AS b FROM t)
+SELECT series_id, model, rmse, aic, CASE WHEN rmse IS NOT NULL THEN CAST(a AS INTEGER) END AS rmse_rank,
+  CASE WHEN model <> 'VAR' AND aic IS NOT NULL THEN CAST(b AS INTEGER) END AS aic_rank, coalesce(rmse IS NOT NULL AND a = 1, false) AS winner FROM r""",
+    "naive_plot_rows": f"""WITH {_SERIES},
+g AS (SELECT series_id, max(idx) AS top, arg_max(total, idx) AS y FROM fr WHERE is_train GROUP BY series_id)
+SELECT fr.series_id, idx - top AS step, 'Actual' AS model, total AS value FROM fr JOIN g USING (series_id) WHERE NOT is_train
+UNION ALL SELECT fr.series_id, idx - top, 'naive', y FROM fr JOIN g USING (series_id) WHERE NOT is_train""",
 }
