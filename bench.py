@@ -18,7 +18,7 @@ HEADLINE = [
     "flow_alerts", "flow_feature_table", "rule_classify", "rule_alerts", "flow_stats_10s", "flow_stats_total",
     "running_rates", "bandwidth", "bandwidth_split", "decode_strict", "detected_alerts", "alerts_union",
     "attached_metadata", "classification_metrics", "latest_alerts", "rf_predict", "ar1_ols", "forecasts",
-    "variance_run", "model_table", "stream_flow_stats", "stream_alerts",
+    "variance_run", "forecast_anomalies", "variance_anomalies", "model_table", "stream_flow_stats", "stream_alerts",
 ]
 
 

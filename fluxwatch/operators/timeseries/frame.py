@@ -100,13 +100,10 @@ def lagged(frame: DataFrame, lags: dict[str, int], by: list[str] | None = None)
 def join_series(frame: DataFrame, values: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Joins one-row-per-series values to the rows of a frame.
 
-    The values are first repeated per run of positions and joined on that too, so
-    that a long series is spread over tasks instead of gathered in one.
+    Few series are broadcast by their measured size and the frame stays where it is; for many,
+    Spark splits the rows of a series that is much longer than the others.
     """
-    by = by or KEY
-    cut = frame.withColumn("__part", F.floor(F.col("idx") / F.lit(16 * BLOCK)).cast("long"))
-    parts = cut.select(*by, "__part").distinct()
-    return cut.join(parts.join(values, by), [*by, "__part"]).drop("__part")
+    return frame.join(values, by or KEY)
 
 
 def train_rows(frame: DataFrame) -> DataFrame:
