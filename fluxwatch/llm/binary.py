@@ -34,6 +34,8 @@ MAGIC, VERSION, HEAD = b"FXID", 1, "<4sBBI16s"
 #: Documents the dictionary is trained on, bytes taken of each, and the dictionary's size.
 SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 8192, 65536
 BLOCK_BYTES, LEVEL = 1 << 20, 3
+#: Documents compressed before their frames go on.
+ROWS = 500
 
 
 def packed_ids(ids: bytes, width: int) -> bytes:
@@ -115,19 +117,23 @@ def write_ids(docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", t
     spark.createDataFrame([(bytearray(dictionary),)], "dictionary binary").coalesce(1).write.parquet(f"{folder}/dictionary")
     digest = dictionary_hash(dictionary)
 
-    def compress(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use, tool = encoder(path), compressor(dictionary)
-        for frame in frames:
-            sizes, ties, made = [], [], []
-            for body in frame["text"]:
-                ids = (use.ids(body) if body else b"") + end
-                sizes.append(len(ids) // 4)
-                ties.append(zlib.crc32(ids))
-                made.append(tool.compress(packed_ids(ids, width)))
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "n": sizes, "tie": ties, "frame": made})
+        for batch in batches:
+            # a few rows at a time: the text of one row is held, not of the batch
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                sizes, ties, made = [], [], []
+                for body in part.column(1):
+                    ids = (use.ids(body.as_py()) if body.is_valid else b"") + end
+                    sizes.append(len(ids) // 4)
+                    ties.append(zlib.crc32(ids))
+                    made.append(tool.compress(packed_ids(ids, width)))
+                columns = [part.column(0), pa.array(sizes, pa.int64()), pa.array(ties, pa.int64()), pa.array(made, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "tie", "frame"])
 
     # the ranges are sampled and then dealt: written first, or every text would be encoded twice
-    encoded = written(named.mapInPandas(compress, "doc_id long, n long, tie long, frame binary"), "frames")
+    encoded = written(named.mapInArrow(compress, "doc_id long, n long, tie long, frame binary"), "frames")
     parts = max(1, -(-encoded.count() // 20_000), spark.sparkContext.defaultParallelism)
     ties = encoded.withColumn("_again", F.monotonically_increasing_id())
     ordered = ties.repartitionByRange(parts, "doc_id", "tie", "_again").sortWithinPartitions("doc_id", "tie", "_again")
@@ -144,7 +150,7 @@ def write_ids(docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", t
 
         part = 0
         for batch in batches:
-            for part, key, n, frame in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for part, key, n, frame in (tuple(batch.column(i)[row].as_py() for i in range(4)) for row in range(batch.num_rows)):
                 frames.append(frame)
                 ids.append(key)
                 total, size = total + n, size + len(frame)

@@ -49,7 +49,7 @@ SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 SEGMENT_CHARS = 1 << 20
 BATCH_BYTES = 1 << 20
-REMEMBERED, LONGEST = 200_000, 48
+REMEMBERED, LONGEST = 400_000, 48
 #: Words that are one word to both families' patterns and that only lower-casing normalises.
 SIMPLE = re.compile(rf" ?[{LETTER}]+")
 
@@ -115,21 +115,30 @@ class Encoder:
 
     def _cut(self, texts: list[str], find) -> list[bytes]:
         """Ids of texts, each cut into chunks; chunks not met before go to the library together."""
-        known, before = self.known, self.known_before
+        known = self.known
         cuts = [find(t) for t in texts]
         new = {c for chunks in cuts for c in chunks if c not in known}
-        again = {c: before[c] for c in new if c in before}
+        again = {c: ids for c in new if (ids := self._met(c)) is not None}
         found = self._encode(new - again.keys())
-        known.update(again)
-        known.update(found)
-        done = [b"".join(map(known.__getitem__, chunks)) for chunks in cuts]
-        for c in found:
-            if len(c) > LONGEST:
-                del known[c]
+        ids_of = {**again, **found}
+        done = [b"".join([known[c] if c in known else ids_of[c] for c in chunks]) for chunks in cuts]
+        # a text that is one chunk is remembered by the caller, as a word
+        whole = {chunks[0] for chunks in cuts if len(chunks) == 1}
+        known.update((c, ids) for c, ids in ids_of.items() if c not in whole and len(c) <= LONGEST)
         if len(known) > REMEMBERED:
             self.known_before, self.known = known, {}
         return done
 
+    def _met(self, chunk: str) -> bytes | None:
+        """Ids of a chunk from the older memory, or from the words behind a blank."""
+        if chunk in self.known_before:
+            return self.known_before[chunk]
+        if self.kind == "bytes" and chunk[:1] != "\n":
+            if chunk[:1] != " " or chunk[1:2] == "\n":  # a word that begins with a line end has no blank before it
+                return None
+            chunk = chunk[1:]
+        return self.behind.get(chunk) or self.behind_before.get(chunk)
+
     def _plain(self, text: str) -> Iterator[bytes]:
         """The ids of a text without special strings, a segment at a time."""
         split = SPLITS[not text.isascii() and HAS_WIDE.search(text) is not None]
