@@ -44,30 +44,42 @@ def word_parts(text: bytes) -> Iterator[list[bytes]]:
         start = end
 
 
-def fingerprint(text: str | None) -> int:
-    """The fingerprint: a bit is 1 if it is set in over half of the shingles' hashes, repeats included."""
-    ones, total = np.zeros(BITS, np.int64), 0
+def shingles(text: str | None, width: int = SHINGLE) -> Iterator[np.ndarray]:
+    """Hashes of the shingles of ``width`` words, repeats included, in batches of bounded size; a text of
+    fewer words is one shingle, one without words none."""
+    total = 0
     carry: list[bytes] = []
 
-    def add(shingles: list[bytes]) -> None:
+    def hashed(spans: list[bytes]) -> Iterator[np.ndarray]:
         nonlocal total
         digest = xxhash.xxh64_intdigest
-        for i in range(0, len(shingles), PART_SHINGLES):
-            hashes = np.array([digest(s, SEED) for s in shingles[i:i + PART_SHINGLES]], "<u8")
-            ones[:] += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-            total += len(hashes)
+        for i in range(0, len(spans), PART_SHINGLES):
+            total += len(spans[i:i + PART_SHINGLES])
+            yield np.array([digest(s, SEED) for s in spans[i:i + PART_SHINGLES]], "<u8")
 
     for words in word_parts((text or "").encode().lower()):
         words = carry + words
-        if len(words) >= SHINGLE:
-            add([b" ".join(s) for s in zip(*(words[i:] for i in range(SHINGLE)))])
-            carry = words[-(SHINGLE - 1):]
+        if len(words) >= width:
+            yield from hashed([b" ".join(s) for s in zip(*(words[i:] for i in range(width)))])
+            carry = words[-(width - 1):] if width > 1 else []
         else:
             carry = words
     if not total and carry:
-        add([b" ".join(carry)])
-    bits = (2 * ones > total).astype(np.uint8)
-    return int(np.packbits(bits, bitorder="little").view("<i8")[0])
+        yield from hashed([b" ".join(carry)])
+
+
+def majority(batches: Iterator[np.ndarray]) -> int:
+    """A bit is 1 if it is set in over half of the hashes; no hashes: zero."""
+    ones, total = np.zeros(BITS, np.int64), 0
+    for hashes in batches:
+        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        total += len(hashes)
+    return int(np.packbits((2 * ones > total).astype(np.uint8), bitorder="little").view("<i8")[0])
+
+
+def fingerprint(text: str | None, width: int = SHINGLE) -> int:
+    """The fingerprint: a bit is 1 if it is set in over half of the shingles' hashes, repeats included."""
+    return majority(shingles(text, width))
 
 
 def fingerprints(docs: DataFrame, text: str = "text", out: str = "fp") -> DataFrame:
