@@ -29,14 +29,19 @@ SYMBOLS = "#*$%&|<>"
 #: Shortest text, in tokens, that the language bands judge; how far the entropy band gives way for few tokens.
 LEAST_TOKENS, GIVE = 128, 40.0
 #: Language: lowest and highest characters per token, highest byte share, and the joint lower
-#: bands of characters per token and entropy. Set from labelled rows; "" is any other language.
+#: bands of characters per token and entropy. Set from labelled rows; a null or other language takes the band
+#: of its text's script: LATIN, fitted on the labelled rows of all languages together, or "", which no labelled row supports.
 BANDS = {
     "en": (1.3, 6.0, 0.10, 2.10, 6.42),
     "de": (1.3, 6.0, 0.10, 2.12, 6.35),
     "fr": (1.3, 6.0, 0.10, 1.95, 6.33),
     "es": (1.3, 6.0, 0.10, 1.90, 6.36),
+    "latin": (1.0, 12.0, 0.30, 2.10, 6.36),
     "": (0.0, 12.0, 0.90, 1.60, 5.00),
 }
+LATIN = "latin"
+#: Letters, and letters of other scripts than Latin.
+LETTER, OTHER = re.compile(r"[^\W\d_]+"), re.compile(r"[^\W\d_\u0000-\u024f\u1e00-\u1eff]+")
 SCHEMA = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
     "n_tokens long, chars_per_token double, byte_share double, entropy double, kept boolean"
@@ -119,6 +124,18 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def band_of(text: str, lang: str | None, bands: dict) -> str:
+    """The band's name: the language, else Latin unless over half of the letters are of other scripts."""
+    if lang in bands and lang not in (LATIN, ""):
+        return lang
+    if LATIN not in bands:
+        return ""
+    if text.isascii():
+        return LATIN
+    letters, others = (len(text) - len(p.sub("", text)) for p in (LETTER, OTHER))
+    return "" if 2 * others > letters else LATIN
+
+
 def verdict(lang: str | None, chars: int, tokens: int, share: float, entropy: float, bands: dict) -> bool:
     low, high, most, joint, least = bands.get(lang or "", bands[""])
     if not tokens:
@@ -136,7 +153,7 @@ def judge(text: str | None, lang: str | None, use: Pieces, bands: dict) -> tuple
     failed = n < 10 or 100 * again > 20 * n
     chars = sum(map(len, words))
     tokens, share, entropy = use.measure(words)
-    kept = not failed and verdict(lang, chars, tokens, share, entropy, bands)
+    kept = not failed and verdict(band_of(text, lang, bands), chars, tokens, share, entropy, bands)
     return (
         n, chars, sum(map(text.count, SYMBOLS)), repeated_lines(text), again, failed,
         tokens, chars / tokens if tokens else 0.0, share, entropy, kept,
@@ -147,7 +164,7 @@ def judged(docs: DataFrame, path: str, text: str = "text", lang: str = "lang", b
     """``docs`` with a struct ``out`` of counts, fertility and ``kept``, computed in the scan.
 
     Null and empty texts have no words and fail; a null or unknown language takes the band of
-    "". Other columns are untouched, whatever their names; one named ``out`` is replaced.
+    its text's script. Other columns are untouched, whatever their names; one named ``out`` is replaced.
     """
     chosen = bands or BANDS
 

@@ -150,6 +150,22 @@ def test_fertility_rejects_symbol_noise_and_keeps_prose():
     assert use.measure(["ab", "cd"] * 3)[0] == sum(map(len, use.model.encode(["ab", "cd"]))) * 3
 
 
+@pytest.mark.parametrize("lang", [None, "", "EN", "it", "latin"])
+def test_fertility_without_a_known_language(lang):
+    use = quality.pieces(tokens.vocabulary(PIECES))
+    pick = np.random.default_rng(3)
+    parts = ["zu", "ka", "xo", "vi", "ne", "qa", "by"]
+    invented = " ".join("".join(pick.choice(parts, 3)) for _ in range(400))
+    symbols = " ".join("".join(pick.choice([*parts, "#", "%", "*"], 4)) for _ in range(400))
+    before = {k: v for k, v in quality.BANDS.items() if k != quality.LATIN}
+    assert quality.judge(invented, lang, use, before)[-1]  # the wide band does not see it
+    assert not quality.judge(symbols, lang, use, quality.BANDS)[-1]
+    assert not quality.judge(invented, lang, use, quality.BANDS)[-1]
+    assert quality.judge(PASSAGE, lang, use, quality.BANDS)[-1]
+    russian = " ".join("".join(pick.choice(list("абвгдежзиклмнопрстуф"), 6)) for _ in range(200))
+    assert quality.judge(russian, lang, use, quality.BANDS)[-1]  # another script
+
+
 # --- line dedup -------------------------------------------------------------
 
 
