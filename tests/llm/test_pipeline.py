@@ -79,3 +79,10 @@ def test_stages_on_nothing(spark, corpus):
     for _, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, FOLDER), "stage")
     assert docs.count() == 0
+
+
+def test_line_dedup_keeps_what_is_not_a_copy(spark):
+    shared, own = "shared " + prose(900, 200), prose(901, 50)
+    rows = [(1, shared), (2, f"{shared}\n{own}"), (3, shared), (4, f"{shared}\n \n")]
+    found = corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), FOLDER).collect()
+    assert {r["doc_id"]: r["text"] for r in found} == {1: shared, 2: own}
