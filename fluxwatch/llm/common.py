@@ -29,6 +29,14 @@ def drop_folder(df: DataFrame) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def free(name: str, taken: list[str]) -> str:
+    """``name``, with as many underscores before it as it takes to differ from all the names ``taken``."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
+
+
 def numbered(df: DataFrame, group: list[str], name: str, rank: str) -> DataFrame:
     """``df`` with a gapless 0-based ``rank`` in each group, hot groups included.
 
