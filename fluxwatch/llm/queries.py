@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from fluxwatch.llm import binary, embeddings, lines, mixing, packing, quality, sharding, simhash, tokens, toxicity
+from fluxwatch.llm import (
+    binary, decontamination, embeddings, lines, mixing, packing, periodic, quality, resampling, sharding, simhash, tokens, toxicity,
+)
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -15,6 +17,9 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_mixing": mixing.op9_mixing,
     "op10_embeddings": embeddings.op10_embeddings,
+    "op11_periodic": periodic.op11_periodic,
+    "op12_decontamination": decontamination.op12_decontamination,
+    "op13_resampling": resampling.op13_resampling,
 }
 
-ORACLES = {"op7_line_dedup": lines.OP7_SQL, "op9_mixing": mixing.OP9_SQL}
+ORACLES = {"op7_line_dedup": lines.OP7_SQL, "op9_mixing": mixing.OP9_SQL, "op12_decontamination": decontamination.OP12_SQL}
