@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from fluxwatch.operators.features import flow_features, packet_iat, training_flows
+from fluxwatch.operators.features import flow_features, packet_iat, split_by_size, training_flows
 
 COLUMNS = (
     "timestamp_s double, flow_id long, packet_size_bytes long, direction string, attack_type string, "
@@ -92,3 +92,57 @@ def test_format_detection(spark):
     flows = spark.createDataFrame([(1, 2.0)], "Flow_ID int, Flow_Bytes_s double")
     assert training_flows(flows) is flows
     assert "Flow_IAT_Std" in training_flows(packets(spark, [(1.0, 1, 5)])).columns
+
+
+def _crowd(kind):
+    """A flow of 3,000 packets beside small ones, unevenly in time."""
+    rng = np.random.default_rng(9)
+    times = {
+        "one late": [*rng.uniform(0, 1, 2999), 1e7],
+        "one instant": [5.0] * 3000,
+        "few instants": list(rng.integers(0, 7, 3000).astype(float)),
+        "bursts": list(np.concatenate([rng.exponential(1e-6, 2900).cumsum(), rng.uniform(50, 9000, 100)])),
+    }[kind]
+    rows = [(t, 0, int(s)) for t, s in zip(times, rng.integers(40, 1500, 3000))]
+    return rows + [(float(i), 1 + i % 5, 64) for i in range(60)]
+
+
+@pytest.mark.parametrize("kind", ["one late", "one instant", "few instants", "bursts"])
+def test_large_flows_are_cut_by_rows(spark, kind):
+    rows, limit = _crowd(kind), 100
+    table = packets(spark, rows)
+    plain, sliced = split_by_size(table, ["flow_id"], "timestamp_s", limit)
+    assert plain.count() == 60 and sliced.count() == 3000
+    # what a task orders: instants, not packets
+    instants = sliced.select("__slice", "timestamp_s").distinct().groupBy("__slice").count()
+    assert instants.agg({"count": "max"}).first()[0] <= 2 * limit
+    if kind in ("one late", "bursts"):
+        assert sliced.groupBy("__slice").count().agg({"count": "max"}).first()[0] <= 2 * limit
+    expected = brute_force(rows)
+    found = flow_features(table, max_rows=limit).toPandas().set_index("flow_id")
+    for f, values in expected.items():
+        np.testing.assert_allclose(found.loc[f, NAMES].astype(float), values, rtol=1e-9, atol=1e-9)
+    gaps = packet_iat(table, max_rows=limit).toPandas()
+    df = pd.DataFrame(rows, columns=["t", "f", "s"]).sort_values(["f", "t"])
+    for f, part in df.groupby("f"):
+        got = gaps[gaps.flow_id == f]["iat"]
+        assert got.isna().sum() == 1 and len(got) == len(part)
+        np.testing.assert_allclose(np.sort(got.dropna()), np.sort(part.t.diff().dropna()), rtol=1e-9, atol=1e-9)
+
+
+def test_more_cuts_than_a_stride(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(float(t), 0, 100) for t in rng.uniform(0, 1, 2000)]
+    sliced = split_by_size(packets(spark, rows), ["flow_id"], "timestamp_s", 10)[1]
+    bounds = sliced.groupBy("__slice").agg({"timestamp_s": "min"}).orderBy("__slice").collect()
+    times = sorted(t for t, _, _ in rows)
+    assert len(bounds) > 150 and [b[1] for b in bounds] == sorted(b[1] for b in bounds) and bounds[0][1] == times[0]
+
+
+def test_null_flows_and_times(spark):
+    rows = [(None, 1, 10), (1.0, 1, 20), (2.5, 1, 30), (1.0, None, 5), (4.0, None, 7), (None, None, 1)] * 5
+    table = spark.createDataFrame([(t, f, s, "tx", "FLOOD", True, 0.1, 0.2, 0.3) for t, f, s in rows], COLUMNS)
+    whole = flow_features(table).toPandas().sort_values("flow_id").reset_index(drop=True)
+    cut = flow_features(table, max_rows=4).toPandas().sort_values("flow_id").reset_index(drop=True)
+    pd.testing.assert_frame_equal(whole, cut)
+    assert packet_iat(table, max_rows=4).count() == packet_iat(table).count() == 30
