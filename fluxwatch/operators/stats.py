@@ -16,13 +16,16 @@ def _histogram(count_of) -> Column:
     return F.map_filter(F.create_map(*pairs), lambda _, n: n > 0)
 
 
-def stats_columns() -> list[Column]:
-    """Aggregates of classified flows; every average and the maximum is 0 on no rows."""
+def stats_columns(total: Column | None = None) -> list[Column]:
+    """Aggregates of classified flows; every average and the maximum is 0 on no rows.
+
+    ``total`` counts the flows, where other rows (of nulls) are among them."""
 
     def mean(name: str) -> Column:
         return F.coalesce(F.avg(name), F.lit(0.0))
 
-    total, attacks = F.count(F.lit(1)), F.count_if(is_attack())
+    total = F.count(F.lit(1)) if total is None else total
+    attacks = F.count_if(is_attack())
     share = F.when(total > 0, attacks / total * F.lit(100.0)).otherwise(F.lit(0.0))
     return [
         total.alias("totalFlows"),
@@ -38,10 +41,10 @@ def stats_columns() -> list[Column]:
     ]
 
 
-def flow_stats(flows: DataFrame, by: list[str | Column] | None = None) -> DataFrame:
+def flow_stats(flows: DataFrame, by: list[str | Column] | None = None, total: Column | None = None) -> DataFrame:
     """Statistics of flows, over everything or per group."""
     labelled = flows if "attack_type" in flows.columns else classify_rules(flows)
-    return labelled.groupBy(*(by or [])).agg(*stats_columns())
+    return labelled.groupBy(*(by or [])).agg(*stats_columns(total))
 
 
 def merge_stats(stats: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -71,12 +74,14 @@ def merge_stats(stats: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
-def windowed_stats(flows: DataFrame, time: str | Column, length: str = "10 seconds") -> DataFrame:
+def windowed_stats(
+    flows: DataFrame, time: str | Column, length: str = "10 seconds", total: Column | None = None
+) -> DataFrame:
     """Statistics per tumbling window, bounds as epoch milliseconds.
 
     Works on batch and streaming input; the stream adds its watermark first.
     """
-    return flow_stats(flows, [F.window(time, length).alias("window")]).select(
+    return flow_stats(flows, [F.window(time, length).alias("window")], total).select(
         F.unix_millis("window.start").alias("windowStart"),
         F.unix_millis("window.end").alias("windowEnd"),
         *[F.col(c) for c in STATS_COLUMNS],
@@ -132,6 +137,20 @@ def time_slices(df: DataFrame, time: str, rows_per_slice: int = ROWS_PER_SLICE)
     return cutter.transform(numeric).drop("__t")
 
 
+def running_totals(
+    flows: DataFrame,
+    by: list[str] | None = None,
+    carried: DataFrame | None = None,
+    rate: str = "flow_bytes_s",
+    packets: str = "flow_packets_s",
+) -> DataFrame:
+    """Count and sums of both rates per source (columns n, b, p), those ``carried`` from before included."""
+    now = flows.groupBy(*(by or [])).agg(F.count("*").alias("n"), F.sum(rate).alias("b"), F.sum(packets).alias("p"))
+    if carried is None:
+        return now
+    return now.unionByName(carried).groupBy(*(by or [])).agg(*[F.sum(c).alias(c) for c in "nbp"])
+
+
 def running_rates(
     flows: DataFrame,
     time: str,
@@ -140,11 +159,13 @@ def running_rates(
     by: list[str] | None = None,
     tie: list[str] | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """Running count and running mean rates in arrival order, per source.
 
     Totals of the earlier slices are added to a running sum inside each slice,
-    so no task orders a whole source.
+    so no task orders a whole source. A missing rate adds nothing. ``carried`` holds what came before these rows, one
+    row a source as :func:`running_totals` gives it.
     """
     by = by or []
     sliced = time_slices(flows, time, rows_per_slice)
@@ -161,10 +182,17 @@ def running_rates(
             *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"__{c}") for c in "nbp"],
         )
     )
+    if carried is not None:
+        # without a source there is one row of totals, joined on a constant
+        keys = by or ["__one"]
+        base = carried.select(*by, *[F.col(c).alias(f"__c{c}") for c in "nbp"])
+        left, right = (totals, base) if by else (totals.withColumn("__one", F.lit(1)), base.withColumn("__one", F.lit(1)))
+        sums = {f"__{c}": F.col(f"__{c}") + F.coalesce(f"__c{c}", F.lit(0)) for c in "nbp"}
+        totals = left.join(right, keys, "left").withColumns(sums).select(*totals.columns)
     run = {
         "flow_count": F.count("*").over(inside),
-        "__run_b": F.sum(rate).over(inside),
-        "__run_p": F.sum(packets).over(inside),
+        "__run_b": F.coalesce(F.sum(rate).over(inside), F.lit(0.0)),
+        "__run_p": F.coalesce(F.sum(packets).over(inside), F.lit(0.0)),
     }
     # joined on (source, slice): the layout the running window needs anyway
     return (

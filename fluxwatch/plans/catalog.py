@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fluxwatch.config import WindowConfig
 from fluxwatch.functions.rules import (
     classify_rules,
     label_from_code,
@@ -29,7 +30,7 @@ from fluxwatch.schemas import FEATURES, TRAINING_NAMES
 from fluxwatch.session import run_dir
 from fluxwatch.sources import readers, writers
 from fluxwatch.sources.decode import decode_flows, to_training_names
-from fluxwatch.streaming import jobs
+from fluxwatch.streaming import jobs, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -512,6 +513,80 @@ def stream_alert_lines(spark, folder):
     return spark.read.schema(schema).json(f"{path}/rows")
 
 
+def _in_thirds(spark, rows: DataFrame, path: str, start) -> None:
+    """Feeds rows to a stream in three runs on one checkpoint; ``start`` makes a query of the stream."""
+    for step in range(3):
+        views.arriving(spark, rows, f"{path}/in", step)
+        start(spark.readStream.schema(rows.schema).parquet(f"{path}/in")).awaitTermination()
+
+
+@query
+def stream_arrival_stats(spark, folder):
+    """Windows of arrival over two runs, combined: each is published once, the last one too."""
+    path, config = run_dir(spark, "arrival"), WindowConfig(length="2 seconds")
+    flows = classify_rules(views.flow_stream(spark, folder))
+    whole = flows.withColumn("flow_bytes_s", F.floor("flow_bytes_s").cast("double"))
+    for _ in range(2):
+        rows = jobs.stream_flow_stats(whole, config=config)
+        jobs.until_closed(jobs.fan_out(rows, [jobs.parquet_sink(f"{path}/rows")], f"{path}/checkpoint", trigger="1 second"), config.length)
+    published = spark.read.schema(rows.schema).parquet(f"{path}/rows")
+    return _flat_stats(stats.merge_stats(published))
+
+
+@query
+def stream_running_rates(spark, folder):
+    """Totals carried over three runs, the last batch replayed."""
+    path = run_dir(spark, "running")
+    rows = _whole_rates(spark, folder).select("src_ip", "flow_id", "event_time", "flow_bytes_s", "flow_packets_s")
+    sink = state.running_rates_sink(path, "event_time", by=["src_ip"], tie=["flow_id"])
+    _in_thirds(spark, rows, path, lambda stream: jobs.fan_out(stream, [sink], f"{path}/checkpoint"))
+    sink(rows.filter(F.unix_seconds("event_time") >= F.lit(1704067200 + 180)), 2)
+    found = spark.read.parquet(f"{path}/rows")
+    return found.select("src_ip", "flow_id", "flow_count", "avg_bytes_s", "avg_packets_s")
+
+
+@query
+def stream_alert_history(spark, folder):
+    """The newest alerts after three runs, the last batch replayed."""
+    path = run_dir(spark, "history")
+    flows = views.timed_flows(spark, folder)
+    sink = state.history_sink(f"{path}/table", "timestamp", tie=["flowId"])
+    _in_thirds(spark, flows, path, lambda stream: jobs.fan_out(al.to_alerts(stream, event_ms()), [sink], f"{path}/checkpoint"))
+    sink(al.to_alerts(flows.filter(F.unix_seconds("event_time") >= F.lit(1704067200 + 180)), event_ms()), 2)
+    return state.read_history(spark, f"{path}/table", "timestamp", tie=["flowId"]).select("flowId", "severity", "timestamp")
+
+
+@query
+def stream_alerts_union(spark, folder):
+    """Both producers' alerts merged live; the second third of the rule alerts is sent twice."""
+    path = run_dir(spark, "merge")
+    rule = al.to_alerts(views.timed_flows(spark, folder), event_ms())
+    scored = al.to_ml_alerts(_scored_by_rules(spark, folder), F.col("event_time"))
+    at = {"event_time": F.timestamp_millis("timestamp")}
+    for step, again in ((0, False), (1, False), (1, True), (2, False)):
+        views.arriving(spark, rule.withColumns(at), f"{path}/rule", step)
+        if not again:
+            views.arriving(spark, scored.withColumn("event_time", F.col("timestamp")), f"{path}/ml", step)
+        streams = [
+            spark.readStream.schema(rows.schema).parquet(f"{path}/{name}") for name, rows in (("rule", rule), ("ml", scored))
+        ]
+        jobs.fan_out(state.merge_live_alerts(*streams), [jobs.parquet_sink(f"{path}/rows")], f"{path}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{path}/rows").drop("batch")
+
+
+@query
+def stream_messages(spark, folder):
+    """Alerts as messages of which the last batch is sent twice, read once."""
+    path = run_dir(spark, "messages")
+    flows = views.timed_flows(spark, folder)
+    sink = state.message_files(f"{path}/topic", "alerts")
+    _in_thirds(spark, flows, path, lambda stream: jobs.fan_out(al.to_alerts(stream, event_ms()), [sink], f"{path}/checkpoint"))
+    sink(al.to_alerts(flows.filter(F.unix_seconds("event_time") >= F.lit(1704067200 + 180)), event_ms()), 2)
+    told = state.told_once(spark.read.schema("key string, value string").json(f"{path}/topic"))
+    parts = {"flowId": "int", "attackType": "string", "timestamp": "long", "message": "string", "pqcEnabled": "boolean"}
+    return told.select(*[F.get_json_object("value", f"$.{n}").cast(t).alias(n) for n, t in parts.items()])
+
+
 @query
 def stream_ml_alerts(spark, folder):
     path = run_dir(spark, "scored")

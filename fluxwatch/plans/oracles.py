@@ -383,6 +383,15 @@ SELECT {_permissive('flow_id', 'flow_id', '0')}, {_SAFE_RATE} AS "Flow_Bytes_s",
   printf('%.1f%%', "precision" * 100) AS "precision", printf('%.1f%%', recall * 100) AS recall,
   printf('%.1f%%', f1 * 100) AS f1 FROM m""",
     "stream_flow_stats": _WINDOW_STATS,
+    "stream_arrival_stats": f"""WITH {_TIMED}, w AS (SELECT * REPLACE (floor(flow_bytes_s) AS flow_bytes_s) FROM timed)
+{_stats_sql('w')}""",
+    "stream_running_rates": f"""WITH {_running('PARTITION BY src_ip')}
+SELECT src_ip, flow_id, flow_count, avg_bytes_s, avg_packets_s FROM run""",
+    "stream_alert_history": f"""WITH {_TIMED} SELECT flow_id AS "flowId", severity, event_ms AS "timestamp" FROM timed
+WHERE attack_type <> 'Normal' ORDER BY event_ms DESC, flow_id DESC LIMIT 200""",
+    "stream_alerts_union": f"WITH {_UNION} SELECT * FROM merged",
+    "stream_messages": f"""WITH {_TIMED}, a AS (SELECT {_ALERT_COLUMNS}, event_ms FROM timed WHERE attack_type <> 'Normal')
+SELECT "flowId", "attackType", event_ms AS "timestamp", message, "pqcEnabled" FROM a""",
     "stream_alerts": f"WITH {_DECODED} SELECT {_ALERT_COLUMNS} FROM timed WHERE attack_type <> 'Normal'",
     "stream_alert_lines": f"""WITH {_DECODED}, a AS (SELECT {_ALERT_COLUMNS} FROM timed WHERE attack_type <> 'Normal')
 SELECT "flowId", "attackType", severity, "flowBytesPerSec", "pqcEnabled" FROM a""",

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fluxwatch.config import TOPIC_ALERTS, TOPIC_FLOWS, TOPIC_STATS, WindowConfig
 from fluxwatch.operators import ml
-from fluxwatch.operators.alerts import as_json, enrich_export, to_topic_rows
+from fluxwatch.operators.alerts import enrich_export, to_topic_rows
 from fluxwatch.operators.bandwidth import bandwidth_series, in_megabytes
 from fluxwatch.operators.timeseries import compare
 from fluxwatch.operators.timeseries.frame import series_frame
@@ -16,6 +16,7 @@ from fluxwatch.session import written
 from fluxwatch.sources import readers, writers
 from fluxwatch.sources.decode import decode_flows
 from fluxwatch.streaming import jobs
+from fluxwatch.streaming.state import keyed_messages
 
 
 def train(spark: SparkSession, data: str, out: str) -> dict:
@@ -38,8 +39,10 @@ def messages(spark: SparkSession, source: str, topic: str | None, starting: str)
 
 
 def _topic_sink(servers: str, topic: str):
+    """Sends keyed messages: a batch sent again has the same keys, and readers drop them (``told_once``)."""
+
     def write(batch: DataFrame, number: int) -> None:
-        writers.publish(as_json(batch), servers, topic)
+        writers.publish(keyed_messages(batch, number, topic), servers, topic)
 
     return write
 
@@ -54,8 +57,8 @@ def detect(
 ) -> list[StreamingQuery]:
     """Rule alerts and window statistics, each to files, to its topic and to the console.
 
-    A running job publishes a window once, when it closes. A run that stops at the end of its
-    input (``trigger`` None) publishes the windows it has seen, closed or not.
+    A window is published once, when it has closed by the clock. A run that stops at the end of its
+    input (``trigger`` None) waits for that; a further run publishes only windows of further input.
     """
     raw = messages(spark, source, topic, "earliest")
 
@@ -72,9 +75,10 @@ def detect(
         jobs.stream_flow_stats(decode_flows(raw)),
         sinks("statistics", TOPIC_STATS),
         f"{out}/checkpoints/statistics",
-        "update" if trigger is None else "append",
-        trigger,
+        trigger=trigger or "1 second",
     )
+    if trigger is None:
+        jobs.until_closed(stats)
     return [alerts, stats]
 
 
@@ -95,9 +99,8 @@ def score(
     stored = evaluation.first()
     unit = (stored["iatUnit"] if stored else None) or "ms"
     rows = jobs.score_messages(messages(spark, source, topic, "latest"), readers.load_model(model), iat_unit=unit)
-    if topic:
-        return writers.write_topic(as_json(rows), source, TOPIC_ALERTS, f"{out}/checkpoints/score", trigger)
-    return jobs.fan_out(rows, [jobs.jsonl_sink(f"{out}/scored")], f"{out}/checkpoints/score", trigger=trigger)
+    sink = _topic_sink(source, TOPIC_ALERTS) if topic else jobs.jsonl_sink(f"{out}/scored")
+    return jobs.fan_out(rows, [sink], f"{out}/checkpoints/score", trigger=trigger)
 
 
 def bandwidth(spark: SparkSession, packets: str, out: str) -> None:

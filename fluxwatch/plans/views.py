@@ -125,6 +125,13 @@ def flow_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _timed(read_table_stream(spark, folder, "events", schema))
 
 
+def arriving(spark: SparkSession, rows: DataFrame, path: str, step: int) -> None:
+    """Appends the ``step``-th (0, 1, 2) third of the rows, by event time, to a folder that a stream reads."""
+    second = F.unix_seconds("event_time") - F.lit(1704067200)
+    third = F.when(second < 90, 0).when(second < 180, 1).otherwise(2)
+    rows.filter(third == step).write.mode("append").parquet(path)
+
+
 def series(spark: SparkSession, folder: str) -> DataFrame:
     """Two-hourly sent and received volume per event type, from ``events``."""
     volume = F.floor(F.lit(1000.0) + F.col("value")).cast("long")
