@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluxwatch.config import WindowConfig
+from fluxwatch.config import ForestConfig, WindowConfig
 from fluxwatch.functions.rules import (
     classify_rules,
     label_from_code,
@@ -20,6 +20,7 @@ from fluxwatch.operators import history, ml, stats
 from fluxwatch.operators.bandwidth import bandwidth_series, in_megabytes
 from fluxwatch.operators.counters import attach_metadata, flow_metrics_from_counters
 from fluxwatch.operators.features import flow_features, packet_iat
+from fluxwatch.operators.forest import NodeForest, node_table
 from fluxwatch.operators.timeseries import compare, ols, recursion
 from fluxwatch.operators.timeseries.anomaly import above_forecast, variance_shock
 from fluxwatch.operators.timeseries.frame import fill_gaps, lagged, series_frame, test_rows, train_rows
@@ -27,7 +28,7 @@ from fluxwatch.operators.timeseries.linear import fit_arima, fit_var, forecast
 from fluxwatch.operators.timeseries.volatility import fit_garch, variance_path
 from fluxwatch.plans import views
 from fluxwatch.schemas import FEATURES, TRAINING_NAMES
-from fluxwatch.session import run_dir
+from fluxwatch.session import run_dir, written
 from fluxwatch.sources import readers, writers
 from fluxwatch.sources.decode import decode_flows, to_training_names
 from fluxwatch.streaming import jobs, state
@@ -481,6 +482,42 @@ def rf_reloaded(spark, folder):
     return share.withColumn("__one", F.lit(1)).join(kept.withColumn("__one", F.lit(1)), "__one").drop("__one")
 
 
+@query
+def forest_predict(spark, folder):
+    """All flows by a stored forest: votes of its trees and the class."""
+    rows = views.stored_forest(spark).transform(_training_rows(spark, folder))
+    votes = [F.round(F.element_at("votes", i + 1), 9).alias(f"votes_{n.lower()}") for i, n in enumerate(views.FOREST_LABELS)]
+    return rows.select("flow_id", F.col("Attack_Type").alias("label"), "prediction", "predicted_attack", *votes)
+
+
+@query
+def forest_confusion(spark, folder):
+    rows = views.stored_forest(spark).transform(_training_rows(spark, folder))
+    return stats.confusion(rows, "Attack_Type", "predicted_attack").withColumnRenamed("Attack_Type", "label")
+
+
+@query
+def forest_reloaded(spark, folder):
+    """A trained forest, saved and scored twice: by its pipeline and by a walk over its stored nodes."""
+    path = f"{run_dir(spark, 'nodes')}/rf-model"
+    rows = written(_training_rows(spark, folder), "features")
+    trained = ml.train(rows, config=ForestConfig(num_trees=8, max_depth=5))
+    writers.save_model(trained.model, path)
+    walk = NodeForest.of(node_table(spark, path), [*trained.labels, ml.UNKNOWN])
+    by_nodes = walk.transform(rows).select("flow_id", F.col("predicted_attack").alias("by_nodes"))
+    scored = ml.score(readers.load_model(path), rows).join(by_nodes, "flow_id")
+    return scored.agg(F.count("*").alias("n_flows"), F.count_if(F.col("by_nodes") == F.col("predicted_attack")).alias("n_equal"))
+
+
+@query
+def stream_forest_alerts(spark, folder):
+    """Messages scored by the stored forest as they arrive."""
+    path = run_dir(spark, "forest")
+    jobs.replay(jobs.score_messages(views.message_stream(spark, folder), views.stored_forest(spark)), path)
+    rows = spark.read.parquet(f"{path}/rows")
+    return rows.select("flowId", "flowBytesPerSec", "attackType", "severity", "source")
+
+
 # ---- streams -----------------------------------------------------------------
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from fluxwatch.plans.views import FOREST_LABELS, FOREST_NODES
+from fluxwatch.schemas import FEATURES
+
 _EVENTS = """
 e AS (
   SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
@@ -251,6 +254,32 @@ def _permissive(column: str, value: str, broken: str) -> str:
     return f"CASE WHEN flow_id % 10 = 0 THEN {broken} ELSE {value} END AS {column}"
 
 
+def _forest(source: str, values: str, label: str) -> str:
+    """A walk over the nodes of the stored forest: ``values`` are the features of ``source`` in their order."""
+    nodes = ", ".join(
+        f"({t}, {n}, {f}, {'NULL' if cut is None else cut}::DOUBLE, {a}, {b}, {[x / sum(c) for x in c]}::DOUBLE[])"
+        for t, n, f, cut, a, b, c in FOREST_NODES
+    )
+    return f"""
+nodes AS (SELECT * FROM (VALUES {nodes}) t(tree, node, feature, cut, lower, upper, votes)),
+x AS (SELECT flow_id, {label} AS label, [{values}] AS v FROM {source}),
+walk AS (
+  SELECT flow_id, tree, 0 AS node FROM x, (SELECT DISTINCT tree FROM nodes)
+  UNION ALL
+  SELECT x.flow_id, walk.tree, CASE WHEN x.v[n.feature + 1] <= n.cut THEN n.lower ELSE n.upper END
+  FROM walk JOIN nodes n ON walk.tree = n.tree AND walk.node = n.node AND n.feature >= 0 JOIN x ON x.flow_id = walk.flow_id),
+summed AS (SELECT flow_id, sum(votes[1]) AS v0, sum(votes[2]) AS v1, sum(votes[3]) AS v2, sum(votes[4]) AS v3
+  FROM walk JOIN nodes n ON walk.tree = n.tree AND walk.node = n.node AND n.feature < 0 GROUP BY flow_id),
+told AS (SELECT *, list_position([v0, v1, v2, v3], greatest(v0, v1, v2, v3)) AS best FROM summed),
+forest AS (SELECT flow_id, label, v0, v1, v2, v3, CAST(best - 1 AS DOUBLE) AS prediction,
+    {FOREST_LABELS}[best] AS predicted_attack
+  FROM told JOIN x USING (flow_id))"""
+
+
+_SWAPPED = "CASE WHEN flow_id % 35 = 0 THEN 'BURST' ELSE label END"
+_FLOW_FOREST = f"""WITH RECURSIVE features AS ({_feature_sql("flow_id")}),
+{_forest("features", ", ".join(f'"{n}"' for n in FEATURES), _SWAPPED)}"""
+
 _SAFE_RATE = "CASE WHEN flow_id % 10 IN (0, 3) THEN 0.0::DOUBLE ELSE flow_bytes_s END"
 _ZERO = "0.0::DOUBLE"
 
@@ -383,6 +412,19 @@ SELECT {_permissive('flow_id', 'flow_id', '0')}, {_SAFE_RATE} AS "Flow_Bytes_s",
   printf('%.1f%%', "precision" * 100) AS "precision", printf('%.1f%%', recall * 100) AS recall,
   printf('%.1f%%', f1 * 100) AS f1 FROM m""",
     "stream_flow_stats": _WINDOW_STATS,
+    "forest_predict": f"""{_FLOW_FOREST}
+SELECT flow_id, label, prediction, predicted_attack, round(v0, 9) AS votes_normal, round(v1, 9) AS votes_flood,
+  round(v2, 9) AS votes_burst, round(v3, 9) AS votes_stealth FROM forest""",
+    "forest_confusion": f"""{_FLOW_FOREST} SELECT label, predicted_attack, count(*) AS "count" FROM forest GROUP BY ALL""",
+    "forest_reloaded": "SELECT count(DISTINCT user_id) AS n_flows, count(DISTINCT user_id) AS n_equal FROM events",
+    "stream_forest_alerts": f"""WITH RECURSIVE {_EVENTS},
+m AS (SELECT CAST(event_id AS INTEGER) AS flow_id, event_id % 10 = 0 AS broken, event_id % 10 = 3 AS bare,
+    value * value * 100.0::DOUBLE AS rate, k * 50.0::DOUBLE AS pace, 1.0::DOUBLE + user_id % 7 AS gap,
+    event_id % 5 * 0.5::DOUBLE AS spread, 40.0::DOUBLE + k * 10.0::DOUBLE AS size, k FROM e),
+{_forest("m", "CASE WHEN broken OR bare THEN 0 ELSE rate END, CASE WHEN broken THEN 0 ELSE pace END, 0, 0, 0, 0, CASE WHEN broken THEN 0 ELSE size END, 0, 0, 0, 0, 0, 0, 0, 0", "broken")}
+SELECT CASE WHEN broken THEN 0 ELSE flow_id END AS "flowId", CASE WHEN broken OR bare THEN 0.0::DOUBLE ELSE rate END AS "flowBytesPerSec",
+  predicted_attack AS "attackType", CASE predicted_attack WHEN 'FLOOD' THEN 'CRITICAL' WHEN 'BURST' THEN 'HIGH'
+  WHEN 'STEALTH' THEN 'MEDIUM' ELSE 'LOW' END AS severity, 'spark-ml' AS source FROM forest JOIN m USING (flow_id)""",
     "stream_arrival_stats": f"""WITH {_TIMED}, w AS (SELECT * REPLACE (floor(flow_bytes_s) AS flow_bytes_s) FROM timed)
 {_stats_sql('w')}""",
     "stream_running_rates": f"""WITH {_running('PARTITION BY src_ip')}

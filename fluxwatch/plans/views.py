@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fluxwatch.operators.forest import NODES, NodeForest
 from fluxwatch.operators.timeseries.frame import series_frame
 from fluxwatch.schemas import FLOW
 from fluxwatch.sources.readers import read_table_stream
@@ -160,6 +161,35 @@ def frame(spark: SparkSession, folder: str) -> DataFrame:
     return series_frame(rows)
 
 
+# A small forest: tree, node, feature (its position in FEATURES, -1 at a leaf), threshold, left, right and
+# the training weight per class of FOREST_LABELS.
+FOREST_LABELS = ["Normal", "FLOOD", "BURST", "STEALTH"]
+FOREST_NODES = [
+    (0, 0, 8, 295.5, 1, 2, [50.0, 30.0, 30.0, 14.0]),
+    (0, 1, -1, None, -1, -1, [2.0, 0.0, 0.0, 14.0]),
+    (0, 2, 8, 700.5, 3, 4, [48.0, 30.0, 30.0, 0.0]),
+    (0, 3, 1, 40.5, 5, 6, [48.0, 6.0, 0.0, 0.0]),
+    (0, 4, -1, None, -1, -1, [1.0, 24.0, 30.0, 0.0]),
+    (0, 5, -1, None, -1, -1, [45.0, 0.0, 0.0, 0.0]),
+    (0, 6, -1, None, -1, -1, [3.0, 6.0, 0.0, 0.0]),
+    (1, 0, 6, 1200.5, 1, 2, [50.0, 30.0, 30.0, 14.0]),
+    (1, 1, 6, 100.5, 3, 4, [50.0, 30.0, 0.0, 14.0]),
+    (1, 2, -1, None, -1, -1, [0.0, 2.0, 30.0, 0.0]),
+    (1, 3, -1, None, -1, -1, [0.0, 0.0, 0.0, 14.0]),
+    (1, 4, 6, 700.5, 5, 6, [50.0, 30.0, 0.0, 0.0]),
+    (1, 5, -1, None, -1, -1, [50.0, 1.0, 0.0, 0.0]),
+    (1, 6, -1, None, -1, -1, [0.0, 29.0, 0.0, 0.0]),
+    (2, 0, 1, 66.5, 1, 2, [50.0, 30.0, 30.0, 14.0]),
+    (2, 1, -1, None, -1, -1, [25.0, 10.0, 10.0, 7.0]),
+    (2, 2, -1, None, -1, -1, [25.0, 20.0, 20.0, 7.0]),
+]
+
+
+def stored_forest(spark: SparkSession) -> NodeForest:
+    """The small forest, by way of its node table."""
+    return NodeForest.of(spark.createDataFrame(FOREST_NODES, NODES), FOREST_LABELS)
+
+
 def counters(spark: SparkSession, folder: str) -> DataFrame:
     """Raw per-flow counters from ``lineitem``."""
     return table(spark, folder, "lineitem").select(
