@@ -24,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -232,6 +232,36 @@ def _round(blocks: DataFrame, params: DataFrame, by: list[str], model, grouped:
     return summed.mapInPandas(step, schema)
 
 
+def chosen_start(fitted: DataFrame, by: list[str], llf_at: int) -> DataFrame:
+    """Of the starts of a series the settled one of the largest likelihood: ``by, p, converged``.
+
+    Where no start has settled within its rounds, the one that came furthest, not converged."""
+    settled = F.coalesce(F.element_at("p", -1) <= SETTLED, F.lit(False))
+    order = F.struct(settled, F.element_at("p", llf_at + 1))
+    best = fitted.groupBy(*by).agg(F.max_by(F.struct("p", settled.alias("converged")), order).alias("best"))
+    return best.select(*by, "best.p", "best.converged")
+
+
+def likelihood_rows(moments: DataFrame, best: DataFrame, by: list[str], name: str, k: int, llf_at: int, nobs: Column, params: Column) -> DataFrame:
+    """Model rows of fits by :func:`fit_blocks`. A series that could not be fitted, or whose fit has not
+    settled, is not ``converged`` and has no criteria; ``params`` is then the point it had come to."""
+    done = F.coalesce("converged", F.lit(False))
+    llf = F.when(done, F.element_at("p", llf_at + 1))
+    return moments.join(best, by, "left").select(
+        *by,
+        F.lit(name).alias("model"),
+        F.lit(k).alias("k"),
+        F.when(done, nobs).alias("nobs"),
+        llf.alias("llf"),
+        (2 * k - 2 * llf).alias("aic"),
+        (k * F.log(nobs.cast("double")) - 2 * llf).alias("bic"),
+        params.alias("params"),
+        F.lit(None).cast("array<double>").alias("state"),
+        F.lit(None).cast("array<double>").alias("matrix"),
+        done.alias("converged"),
+    )
+
+
 def fit_blocks(
     frame: DataFrame, value: str, params: DataFrame, by: list[str], model, rounds: int
 ) -> DataFrame:

@@ -65,12 +65,12 @@ def actual_and_forecast(models: DataFrame, frame: DataFrame, value: str = "total
 
 
 def model_table(models: DataFrame, compared: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """The comparison table; models without forecast have no errors."""
+    """The comparison table; models without forecast have no errors, fits that did not settle no criteria."""
     by = by or KEY
     errors = forecast_error(compared, "y", "yhat", [*by, "model"])
     return models.join(errors, [*by, "model"], "left").select(
         *by, "model", "k", "nobs", "aic", "bic", "llf", "rmse", "mae",
-        *[c for c in ("fit_seconds",) if c in models.columns],
+        *[c for c in ("converged", "fit_seconds") if c in models.columns],
     )
 
 

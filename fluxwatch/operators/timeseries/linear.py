@@ -32,7 +32,7 @@ SEASON = 10
 
 MODEL_FIELDS = (
     "model string, k int, nobs long, llf double, aic double, bic double, "
-    "params array<double>, state array<double>, matrix array<double>"
+    "params array<double>, state array<double>, matrix array<double>, converged boolean"
 )
 
 
@@ -179,10 +179,10 @@ def _arma_state(kind: str, phi, theta, seasonal, w: np.ndarray, mean: float, las
 
 def _failed(name: str, k: int) -> dict:
     nothing = dict.fromkeys(("nobs", "llf", "aic", "bic", "params", "state", "matrix"))
-    return {"model": name, "k": k, **nothing}
+    return {"model": name, "k": k, **nothing, "converged": False}
 
 
-def per_series(rows: DataFrame, by: list[str], fit: Callable[[pd.Series], dict], name: str, k: int) -> DataFrame:
+def per_series(rows: DataFrame, by: list[str], fit: Callable[[dict], dict], name: str, k: int) -> DataFrame:
     """Applies a small fit to each one-row-per-series summary. A series it fails on
     gets a row of nulls, and the others go on."""
     columns = [c.name for c in model_schema(rows, by)]
@@ -190,7 +190,7 @@ def per_series(rows: DataFrame, by: list[str], fit: Callable[[pd.Series], dict],
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for _, row in batch.iterrows():
+            for row in batch.to_dict("records"):
                 try:
                     result = fit(row)
                 except (ArithmeticError, ValueError, np.linalg.LinAlgError):
@@ -205,7 +205,7 @@ def _fit_arma(frame: DataFrame, value: str, by: list[str] | None, name: str, k:
     by = by or KEY
     kind = "arma" if name.startswith("ARMA") else "arima"
 
-    def usable(row: pd.Series) -> tuple[float, np.ndarray, np.ndarray]:
+    def usable(row: dict) -> tuple[float, np.ndarray, np.ndarray]:
         """Mean taken off, lagged sums and last values without it."""
         nobs = int(row["nobs"])
         sums, head, tail = (np.asarray(row[c], float) for c in ("sums", "head", "tail"))
@@ -218,7 +218,7 @@ def _fit_arma(frame: DataFrame, value: str, by: list[str] | None, name: str, k:
             raise ValueError("constant series")
         return mean, sums, w
 
-    def fit(row: pd.Series) -> dict:
+    def fit(row: dict) -> dict:
         if row["p"] is None or not row["converged"]:
             raise ValueError("not fitted")
         mean, _, w = usable(row)
@@ -231,6 +231,7 @@ def _fit_arma(frame: DataFrame, value: str, by: list[str] | None, name: str, k:
             "params": [*found, squares / nobs],
             "state": list(state),
             "matrix": np.asarray(matrix).ravel().tolist(),
+            "converged": True,
         }
 
     sums = written(lag_sums(frame, value, by, difference=kind == "arima"), "sums")
@@ -315,7 +316,7 @@ def fit_var(
     sum of both variables. Params: constants, then lag matrices row by row."""
     by = by or KEY
 
-    def fit(row: pd.Series) -> dict:
+    def fit(row: dict) -> dict:
         g = np.zeros((7, 7))
         upper = np.triu_indices(7)
         g[upper] = np.asarray(row["products"], float)
@@ -361,6 +362,7 @@ def fit_var(
         return {
             "model": "VAR", "k": 4 * p + 2, "nobs": nobs, "llf": llf, "aic": aic, "bic": bic,
             "params": beta.ravel().tolist(), "state": state.tolist(), "matrix": matrix.ravel().tolist(),
+            "converged": True,
         }
 
     return per_series(var_sums(frame, values, by), by, fit, "VAR", 2 if order is None else 4 * order + 2)

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fluxwatch.operators.timeseries.blocks import Cells, fit_blocks
+from fluxwatch.operators.timeseries.blocks import Cells, chosen_start, fit_blocks, likelihood_rows
 from fluxwatch.operators.timeseries.frame import KEY, lagged, train_rows
 
 # p: P(0 to 0), P(1 to 0), m0, m1, f0, f1, variance, likelihood (of the p before),
@@ -133,11 +133,16 @@ class Switching:
         variance = squares.sum((1, 2)) / rows
         floor = 1e-8 * np.maximum(yy.sum((1, 2)) / rows - (y.sum((1, 2)) / rows) ** 2, _TINY)
         out[:, _M], out[:, _F], out[:, _V] = m, f, np.maximum(variance, floor)
+        # settled: neither the likelihood rises nor the parameters move; near the top a move counts squared
+        level = np.abs(m) + np.sqrt(out[:, _V])[:, None]
+        scale = np.concatenate([np.ones((n, 2)), level, 1 + np.abs(f), out[:, [_V]]], 1)
+        moved = (np.abs(out[:, :7] - p[:, :7]) / scale).max(1)
+        out[:, -1] = np.maximum(out[:, -1], moved * moved)
         return out
 
 
 def fit_switching(
-    frame: DataFrame, value: str = "total", by: list[str] | None = None, rounds: int = 100
+    frame: DataFrame, value: str = "total", by: list[str] | None = None, rounds: int = 400
 ) -> DataFrame:
     """Switching autoregression; params: P(0 to 0), P(1 to 0), means, slopes, variance.
     No forecast of the level."""
@@ -175,17 +180,5 @@ def fit_switching(
         .withColumn("extra", F.array(F.lit(0.0)))
     )
     fitted = fit_blocks(frame, value, params, by, Switching(), rounds)
-    best = fitted.groupBy(*by).agg(F.max_by("p", F.element_at("p", _LLF + 1)).alias("p"))
-    llf, nobs = F.element_at("p", _LLF + 1), F.col("rows") - 1
-    return moments.join(best, by, "left").select(
-        *by,
-        F.lit("TAR").alias("model"),
-        F.lit(7).alias("k"),
-        F.when(F.col("p").isNotNull(), nobs).alias("nobs"),
-        llf.alias("llf"),
-        (14 - 2 * llf).alias("aic"),
-        (7 * F.log(nobs.cast("double")) - 2 * llf).alias("bic"),
-        F.slice("p", 1, 7).alias("params"),
-        F.lit(None).cast("array<double>").alias("state"),
-        F.lit(None).cast("array<double>").alias("matrix"),
-    )
+    best = chosen_start(fitted, by, _LLF)
+    return likelihood_rows(moments, best, by, "TAR", 7, _LLF, F.col("rows") - 1, F.slice("p", 1, 7))

@@ -17,7 +17,9 @@ from fluxwatch.operators.timeseries.blocks import (
     _cells,
     _chunks,
     block_carries,
+    chosen_start,
     fit_blocks,
+    likelihood_rows,
     many_blocks,
     pack,
     per_block,
@@ -131,7 +133,9 @@ class Garch:
                 out[i, _SIZE] = p[i, _SIZE] / 2
             point = self._inside(out[i, _GOOD] + out[i, _SIZE] * out[i, _STEP], out[i, _GOOD])
             unit = np.abs(point) + [np.sqrt(out[i, _OMEGA]), 0.0, 0.01, 0.01]
-            out[i, _CHANGE] = np.max(np.abs(point - p[i, :4]) / unit)
+            # settled: neither the parameters move nor the likelihood rises
+            gain = abs(llf[i] - p[i, _LLF]) / (1 + abs(llf[i])) if better else 0.0
+            out[i, _CHANGE] = max(np.max(np.abs(point - p[i, :4]) / unit), gain)
             out[i, :4] = point
         return out
 
@@ -192,29 +196,16 @@ def _fit(frame: DataFrame, value: str, by: list[str] | None, beta_free: bool, ro
     fitted = fit_blocks(frame, value, params, by, Garch(beta_free), rounds)
     # a start whose likelihood was never finite is no fit
     finite = fitted.filter(F.element_at("p", _LLF + 1) > -1e299)
-    best = finite.groupBy(*by).agg(F.max_by("p", F.element_at("p", _LLF + 1)).alias("p"))
-    llf, nobs = F.element_at("p", _LLF + 1), F.col("nobs")
-    found = moments.join(best, by, "left").select(
-        *by,
-        F.lit(name).alias("model"),
-        F.lit(k).alias("k"),
-        F.when(F.col("p").isNotNull(), nobs).alias("nobs"),
-        llf.alias("llf"),
-        (2 * k - 2 * llf).alias("aic"),
-        (k * F.log(nobs.cast("double")) - 2 * llf).alias("bic"),
-        F.slice("p", 5, k).alias("params"),
-        F.lit(None).cast("array<double>").alias("state"),
-        F.lit(None).cast("array<double>").alias("matrix"),
-    )
-    return found
+    best = chosen_start(finite, by, _LLF)
+    return likelihood_rows(moments, best, by, name, k, _LLF, F.col("nobs"), F.slice("p", 5, k))
 
 
-def fit_arch(frame: DataFrame, value: str = "total", by: list[str] | None = None, rounds: int = 40) -> DataFrame:
+def fit_arch(frame: DataFrame, value: str = "total", by: list[str] | None = None, rounds: int = 100) -> DataFrame:
     """ARCH(1); params: mu, omega, alpha. No forecast of the level."""
     return _fit(frame, value, by, False, rounds)
 
 
-def fit_garch(frame: DataFrame, value: str = "total", by: list[str] | None = None, rounds: int = 60) -> DataFrame:
+def fit_garch(frame: DataFrame, value: str = "total", by: list[str] | None = None, rounds: int = 200) -> DataFrame:
     """GARCH(1,1); params: mu, omega, alpha, beta. No forecast of the level."""
     return _fit(frame, value, by, True, rounds)
 

@@ -688,7 +688,7 @@ def variance_run(spark, folder):
 @query
 def garch_shocks(spark, folder):
     frame = views.frame(spark, folder)
-    path = variance_path(frame, fit_garch(frame))
+    path = variance_path(frame, fit_garch(frame).filter("converged"))
     return variance_shock(path, k=4.0)
 
 

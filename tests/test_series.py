@@ -288,7 +288,7 @@ def garch_llf(y, p, start):
 def test_garch_reaches_the_likelihood_maximum(spark):
     series = {"a": garch(500, 5.0, 0.3, 0.2, 0.6, 1), "b": garch(700, 1.0, 0.1, 0.1, 0.8, 3), "c": garch(60, 1.0, 0.5, 0.3, 0.2, 5)}
     frame = frame_of(spark, series)
-    rounds = 60
+    rounds = 200  # fits that have not settled by then have no likelihood
     series["noise"] = np.random.default_rng(8).normal(size=300)
     frame = frame_of(spark, series)
     arch, full = (collected(f(frame, rounds=rounds)) for f in (volatility.fit_arch, volatility.fit_garch))
@@ -414,3 +414,15 @@ def test_flags(spark):
     rows = spark.createDataFrame([(10.0, 1.0, 3.0, 1.0), (2.0, 1.0, 1.0, 1.0), (None, 1.0, None, 1.0)], "y double, yhat double, r double, variance double")
     flagged = variance_shock(above_forecast(rows, "y", "yhat", F.lit(2.0), 3.0), k=4.0).collect()
     assert [(r["is_anomaly"], r["is_shock"]) for r in flagged] == [(True, True), (False, False), (False, False)]
+
+
+def test_fits_that_do_not_settle_are_reported(spark):
+    """At the cap of rounds there are no criteria and no forecast errors, and the table says so."""
+    rng = np.random.default_rng(4)
+    frame = frame_of(spark, {"a": rng.normal(size=120).cumsum()})
+    for fit in (volatility.fit_garch, regimes.fit_switching):
+        early, full = fit(frame, rounds=1).first(), fit(frame).first()
+        assert not early["converged"] and early["llf"] is early["aic"] is early["nobs"] is None
+        assert full["converged"] and full["llf"] is not None
+    models = compare.fit_models(frame_of(spark, {"a": np.ones(50)}), ["GARCH(1,1)", "TAR", "ARMA(1,1)"])
+    assert [r["converged"] for r in models.collect()] == [False] * 3
