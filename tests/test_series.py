@@ -418,9 +418,8 @@ def test_flags(spark):
 
 def test_fits_that_do_not_settle_are_reported(spark):
     """At the cap of rounds there are no criteria and no forecast errors, and the table says so."""
-    rng = np.random.default_rng(4)
-    frame = frame_of(spark, {"a": rng.normal(size=120).cumsum()})
-    for fit in (volatility.fit_garch, regimes.fit_switching):
+    for fit, y in ((volatility.fit_garch, garch(500, 5.0, 0.3, 0.2, 0.6, 1)), (regimes.fit_switching, regime_series(400, 1))):
+        frame = frame_of(spark, {"a": y})
         early, full = fit(frame, rounds=1).first(), fit(frame).first()
         assert not early["converged"] and early["llf"] is early["aic"] is early["nobs"] is None
         assert full["converged"] and full["llf"] is not None
