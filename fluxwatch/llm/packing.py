@@ -52,6 +52,29 @@ def price(duals: np.ndarray, units: int) -> tuple[float, np.ndarray]:
     return float(worth[units]), pattern
 
 
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """The inverse by elimination with row exchanges, in plain array operations.
+
+    A threaded linear-algebra library may wait for ever in a process that has forked since it was
+    loaded, as a driver has when it starts its session after numpy; so none is called here."""
+    m = len(matrix)
+    work = np.concatenate([matrix.astype(float), np.eye(m)], axis=1)
+    for c in range(m):
+        pivot = c + int(np.abs(work[c:, c]).argmax())
+        if work[pivot, c] == 0:
+            raise ValueError("singular basis")
+        work[[c, pivot]] = work[[pivot, c]]
+        work[c] /= work[c, c]
+        others = np.flatnonzero(work[:, c])
+        others = others[others != c]
+        work[others] -= work[others, c, None] * work[c]
+    return work[:, m:]
+
+
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,j->i", matrix, vector.astype(float))
+
+
 def solve(demand: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (rows over the classes) and how often each is used, real numbers.
 
@@ -68,25 +91,25 @@ def solve(demand: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     basis = np.zeros((m, units), np.int64)
     basis[np.arange(m), present] = units // (present + 1)
     inverse = np.diag(1.0 / basis[np.arange(m), present])
-    amount = np.maximum(inverse @ want, 0)
+    amount = np.maximum(_times(inverse, want), 0)
     for step in range(1, STEPS * m + 1):
         full = np.zeros(units)
         full[present] = inverse.sum(axis=0)
         worth, pattern = price(full, units)
         if worth <= 1 + GAP:  # the bound is the present value over the best worth
             break
-        column = inverse @ pattern[present]
+        column = _times(inverse, pattern[present])
         rising = np.flatnonzero(column > 1e-9)
         if not len(rising):
             break
         out = int(rising[(amount[rising] / column[rising]).argmin()])
         basis[out] = pattern
-        inverse[out] /= column[out]
-        others = np.arange(m) != out
-        inverse[others] -= np.outer(column[others], inverse[out])
+        row = inverse[out] / column[out]
+        inverse -= column[:, None] * row
+        inverse[out] = row
         if step % 100 == 0:  # rounding errors add up
-            inverse = np.linalg.inv(basis[:, present].T.astype(float))
-        amount = np.maximum(inverse @ want, 0)
+            inverse = inverted(basis[:, present].T)
+        amount = np.maximum(_times(inverse, want), 0)
     return basis, amount
 
 

@@ -455,3 +455,25 @@ def test_embedding_links(spark):
         assert bag(embeddings.linked(frame, interval=interval).collect()) == bag(want.values())
     assert embeddings.linked(frame.limit(0)).count() == 0
     assert embeddings.linked(frame.where("vec_id BETWEEN 700 AND 703")).count() == 4
+
+
+# --- packing's program beside a live session ---------------------------------
+
+
+def test_the_program_runs_beside_a_session(spark):
+    """Over 100 steps after the session has forked: no threaded library may be called."""
+    assert spark.range(3).count() == 3
+    pick = np.random.default_rng(3)
+    demand = np.bincount(np.minimum(np.ceil(pick.exponential(60, 20_000)).astype(int), 512), minlength=513)[1:]
+    basis, amount = packing.solve(demand)
+    assert (np.einsum("ij,i->j", basis.astype(float), amount) >= demand - 1).all()
+    done = collections.Counter()
+    for pattern, times in packing.plan(demand):
+        assert sum(size * n for size, n in pattern.items()) <= 512
+        for size, n in pattern.items():
+            done[size] += n * times
+    assert all(done[i + 1] == n for i, n in enumerate(demand))
+    square = pick.normal(size=(160, 160))
+    np.testing.assert_allclose(np.einsum("ij,jk->ik", square, packing.inverted(square)), np.eye(160), atol=1e-8)
+    with pytest.raises(ValueError, match="singular"):
+        packing.inverted(np.zeros((2, 2)))
