@@ -297,6 +297,11 @@ def rate_values(spark, folder):
     return mixed.select("flow_id", rate_value(mixed, "flow_bytes_s", "avgBytesPerSec").alias("bytes_value"))
 
 
+def _frame(spark, folder) -> DataFrame:
+    """The series frame written once, for queries that read it many times."""
+    return written(views.frame(spark, folder), "frame")
+
+
 def _horizon(length: str) -> Query:
     def run(spark, folder):
         return history.horizon_rates(_whole_rates(spark, folder), "event_time", length)
@@ -663,14 +668,14 @@ def var1_ols(spark, folder):
 
 @query
 def forecast_anomalies(spark, folder):
-    frame = views.frame(spark, folder)
+    frame = _frame(spark, folder)
     rows = above_forecast(ols.one_step(frame, ols.ar1_fit(frame)), "total", "yhat", F.col("sigma"), 2.0)
     return rounded(rows, {"yhat": 7, "sigma": 7}).select("series_id", "time_bucket", "total", "yhat", "sigma", "is_anomaly")
 
 
 @query
 def variance_anomalies(spark, folder):
-    frame = views.frame(spark, folder)
+    frame = _frame(spark, folder)
     rows = variance_shock(ols.arch1_variance(frame, ols.arch1_fit(frame)), k=4.0)
     return rounded(rows, {"r": 7, "variance": 7}).select("series_id", "time_bucket", "r", "variance", "is_shock")
 
@@ -687,14 +692,14 @@ def variance_run(spark, folder):
 
 @query
 def garch_shocks(spark, folder):
-    frame = views.frame(spark, folder)
+    frame = _frame(spark, folder)
     path = variance_path(frame, fit_garch(frame).filter("converged"))
     return variance_shock(path, k=4.0)
 
 
 @query
 def arima_anomalies(spark, folder):
-    frame = views.frame(spark, folder)
+    frame = _frame(spark, folder)
     models = fit_arima(frame)
     rows = compare.actual_and_forecast(models, frame)
     spread = models.select("series_id", "model", F.sqrt(F.element_at("params", -1)).alias("sigma"))
@@ -703,13 +708,13 @@ def arima_anomalies(spark, folder):
 
 @query
 def forecasts(spark, folder):
-    frame = views.frame(spark, folder)
+    frame = _frame(spark, folder)
     return forecast(fit_arima(frame).unionByName(fit_var(frame)), frame)
 
 
 @query
 def model_table(spark, folder):
-    frame = views.frame(spark, folder)
+    frame = _frame(spark, folder)
     models = compare.fit_models(frame)
     return compare.model_table(models, compare.actual_and_forecast(models, frame))
 
@@ -721,7 +726,7 @@ def model_rank(spark, folder):
 
 @query
 def model_plot_rows(spark, folder):
-    frame = views.frame(spark, folder)
+    frame = _frame(spark, folder)
     models = compare.fit_models(frame, ["ARMA(1,1)", "ARIMA(1,1,1)", "SARIMA", "VAR"])
     return compare.plot_rows(compare.actual_and_forecast(models, frame), frame)
 
@@ -736,7 +741,7 @@ def label_index(spark, folder):
 @query
 def arma_forecast(spark, folder):
     """Sum of squares, last residual and forecasts of an ARMA with given coefficients."""
-    frame = views.frame(spark, folder)
+    frame = _frame(spark, folder)
     given = train_rows(frame).groupBy("series_id").agg(F.avg("total").alias("mean"), F.max_by("total", "idx").alias("last"))
     points = given.select("series_id", F.array(F.lit(0.5), F.lit(-0.9), F.lit(0.0)).alias("p"), "mean")
     # one round evaluates the starting point

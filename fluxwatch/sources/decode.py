@@ -21,7 +21,8 @@ def decode_flows(
     """Flow columns of a JSON message column (text or bytes).
 
     ``strict`` drops what does not decode and fills missing fields with their
-    defaults; numbers given as text, and fractions in integer fields, are converted. ``permissive`` keeps every message: a broken one becomes a row of
+    defaults; numbers given as text, and fractions in integer fields, are
+    converted. ``permissive`` keeps every message: a broken one becomes a row of
     zeros whose texts and flags are null. Unknown keys are ignored in both.
     ``keep`` names message columns to carry along.
     """
@@ -32,29 +33,37 @@ def decode_flows(
         return zero_fill(messages.select(*carried, F.inline(F.array(flow))), FLOW_NUMBERS)
     if mode != "strict":
         raise ValueError(f"unknown mode {mode!r}")
-    # numbers are taken as text first: a wrong type then costs the value, not the record
-    texts = [T.StructField(f.name, T.StringType()) if f.name in FLOW_NUMBERS else f for f in FLOW.fields]
-    marked = T.StructType([*texts, T.StructField(_BAD, T.StringType())])
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": _BAD,
         "allowNonNumericNumbers": "false",
     }
-    flow = F.from_json(text, marked, options)
+    bad = T.StructField(_BAD, T.StringType())
+    flow = F.from_json(text, T.StructType([*FLOW.fields, bad]), options)
     # unpacked by a generator, so that later filters are not pushed below it and
     # each message is parsed once, however often its fields are used
     rows = messages.select(*carried, F.inline(F.array_compact(F.array(flow))))
+    # a record with a number of another type is parsed again with its numbers as
+    # text, so that the wrong type costs the value and not the record
+    texts = [T.StructField(f.name, T.StringType()) if f.name in FLOW_NUMBERS else f for f in FLOW.fields]
+    again = F.when(F.col(_BAD).isNotNull(), F.from_json(F.col(_BAD), T.StructType([*texts, bad]), options))
+    given = {f.name: f"__{f.name}" for f in FLOW.fields}
+    rows = rows.select("*", F.inline(F.array(again)).alias(*given.values(), f"_{_BAD}"))
     types = {f.name: f.dataType for f in FLOW.fields}
 
-    def number(name: str) -> Column:
-        given, dtype = F.col(name), types[name]
-        return F.coalesce(given.try_cast(dtype), given.try_cast("double").try_cast(dtype))
+    def converted(name: str) -> Column:
+        raw = F.col(given[name])
+        if name not in FLOW_NUMBERS:
+            return raw
+        plain = raw.try_cast(types[name])
+        return plain if types[name] == T.DoubleType() else F.coalesce(plain, raw.try_cast("double").try_cast(types[name]))
 
-    sound = F.col(_BAD).isNull()
+    whole = F.col(f"_{_BAD}").isNull()
     for name in FLOW_NUMBERS:
-        sound = sound & (F.col(name).isNull() | number(name).isNotNull())
+        whole = whole & (F.col(given[name]).isNull() | converted(name).isNotNull())
+    sound = F.when(F.col(_BAD).isNull(), F.lit(True)).otherwise(whole)
     filled = [
-        F.coalesce(number(name) if name in FLOW_NUMBERS else F.col(name), F.lit(default)).alias(name)
+        F.coalesce(F.when(F.col(_BAD).isNull(), F.col(name)).otherwise(converted(name)), F.lit(default)).alias(name)
         for name, default in FLOW_DEFAULTS.items()
     ]
     return rows.filter(sound).select(*carried, *filled)
