@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fluxwatch.config import ForestConfig
-from fluxwatch.operators.stats import confusion
+from fluxwatch.operators.stats import confusion, observed
 from fluxwatch.schemas import FEATURES
 from fluxwatch.session import written
 
@@ -130,7 +130,8 @@ def train(
     key = key or ["flow_id"]
     kept = flows.na.fill(0.0, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        indexer = index_labels(kept)
+        counted, all_rows = observed(kept, "rows")
+        indexer = index_labels(counted)
         labels = list(indexer.labels)
         indexed = indexer.transform(kept)
         train_rows, test_rows = split_rows(indexed, key, config.train_percent, config.seed)
@@ -138,7 +139,8 @@ def train(
         model = forest_pipeline(labels, config).fit(train_rows)
         seconds = time.monotonic() - started
         # written once: neither the metrics nor the caller build the features again
-        scored = written(score(model, test_rows).drop("features", "rawPrediction", "probability"), "scored")
+        watched, scored_rows = observed(score(model, test_rows).drop("features", "rawPrediction", "probability"), "scored")
+        scored = written(watched, "scored")
         table = written(confusion(scored, "Attack_Type", "predicted_attack"), "confusion")
         result = classification_metrics(table, "Attack_Type", "predicted_attack").first()
     finally:
@@ -149,6 +151,9 @@ def train(
         "maxDepth": config.max_depth,
         "trainingTimeSec": round(seconds, 3),
         "iatUnit": iat_unit,
+        # counted as they passed, without jobs of their own
+        "rows": all_rows.get["rows"],
+        "testRows": scored_rows.get["rows"],
     }
     return Training(model, labels, scored, table, metrics, feature_importance(spark, model))
 

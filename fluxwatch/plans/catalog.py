@@ -514,6 +514,17 @@ def forest_reloaded(spark, folder):
     return scored.agg(F.count("*").alias("n_flows"), F.count_if(F.col("by_nodes") == F.col("predicted_attack")).alias("n_equal"))
 
 
+@query
+def stream_rolled_lines(spark, folder):
+    """Alerts as JSON lines in files of at most 64 KiB, read back; the largest file is told with them."""
+    path = run_dir(spark, "rolled")
+    found = jobs.detect(views.message_stream(spark, folder))
+    jobs.fan_out(found, [jobs.rolling_jsonl_sink(f"{path}/rows", 1 << 16)], f"{path}/checkpoint").awaitTermination()
+    schema = "flowId int, attackType string, severity string, flowBytesPerSec double, pqcEnabled boolean"
+    rows = spark.read.schema(schema).json(f"{path}/rows").select(*[c.split(" ")[0] for c in schema.split(", ")], (F.col("_metadata.file_size") <= 1 << 16).alias("within"))
+    return rows
+
+
 @query
 def stream_forest_alerts(spark, folder):
     """Messages scored by the stored forest as they arrive."""

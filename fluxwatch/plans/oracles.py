@@ -435,6 +435,8 @@ WHERE attack_type <> 'Normal' ORDER BY event_ms DESC, flow_id DESC LIMIT 200""",
     "stream_messages": f"""WITH {_TIMED}, a AS (SELECT {_ALERT_COLUMNS}, event_ms FROM timed WHERE attack_type <> 'Normal')
 SELECT "flowId", "attackType", event_ms AS "timestamp", message, "pqcEnabled" FROM a""",
     "stream_alerts": f"WITH {_DECODED} SELECT {_ALERT_COLUMNS} FROM timed WHERE attack_type <> 'Normal'",
+    "stream_rolled_lines": f"""WITH {_DECODED}, a AS (SELECT {_ALERT_COLUMNS} FROM timed WHERE attack_type <> 'Normal')
+SELECT "flowId", "attackType", severity, "flowBytesPerSec", "pqcEnabled", TRUE AS within FROM a""",
     "stream_alert_lines": f"""WITH {_DECODED}, a AS (SELECT {_ALERT_COLUMNS} FROM timed WHERE attack_type <> 'Normal')
 SELECT "flowId", "attackType", severity, "flowBytesPerSec", "pqcEnabled" FROM a""",
     "naive_error": f"""WITH {_SERIES} SELECT series_id, round(sqrt(avg(pow(total - total_1, 2))), 8) AS rmse,

@@ -63,7 +63,7 @@ def detect(
     raw = messages(spark, source, topic, "earliest")
 
     def sinks(name: str, target: str) -> list:
-        found = [jobs.jsonl_sink(f"{out}/{name}")]
+        found = [jobs.rolling_jsonl_sink(f"{out}/{name}")]
         if topic:
             found.append(_topic_sink(source, target))
         return found + ([jobs.console_sink()] if show else [])
@@ -99,7 +99,7 @@ def score(
     stored = evaluation.first()
     unit = (stored["iatUnit"] if stored else None) or "ms"
     rows = jobs.score_messages(messages(spark, source, topic, "latest"), readers.load_model(model), iat_unit=unit)
-    sink = _topic_sink(source, TOPIC_ALERTS) if topic else jobs.jsonl_sink(f"{out}/scored")
+    sink = _topic_sink(source, TOPIC_ALERTS) if topic else jobs.rolling_jsonl_sink(f"{out}/scored")
     return jobs.fan_out(rows, [sink], f"{out}/checkpoints/score", trigger=trigger)
 
 

@@ -133,6 +133,7 @@ _METRICS = T.StructType(
     [T.StructField(n, T.DoubleType()) for n in ("accuracy", "precision", "recall", "f1")]
     + [T.StructField(n, T.IntegerType()) for n in ("numTrees", "maxDepth")]
     + [T.StructField("trainingTimeSec", T.DoubleType()), T.StructField("iatUnit", T.StringType())]
+    + [T.StructField(n, T.LongType()) for n in ("rows", "testRows")]
 )
 _IMPORTANCE = T.StructType(
     [T.StructField("feature", T.StringType()), T.StructField("importance", T.DoubleType())]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,6 +19,9 @@ from fluxwatch.operators.stats import windowed_stats
 from fluxwatch.schemas import TRAINING_NAMES
 from fluxwatch.sources.decode import decode_flows, to_training_names
 
+# Fixed value: size at which a JSON-lines file is closed.
+ROLL_BYTES = 128 * 1024 * 1024
+
 
 def detect(messages: DataFrame, timestamp=None) -> DataFrame:
     """JSON messages -> rule alerts. No shuffle; batch and stream alike."""
@@ -140,6 +143,32 @@ def jsonl_sink(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def rolling_jsonl_sink(path: str, max_bytes: int = ROLL_BYTES) -> Callable[[DataFrame, int], None]:
+    """JSON lines in files of at most ``max_bytes``, whatever the width of the rows; a wider row has a file alone.
+
+    A micro-batch begins new files, so the trigger sets how old a file grows. Files of a task
+    are cut by the running size of its lines, and all of a batch lie below its number.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        size = F.octet_length("value") + 1
+        lines = as_json(batch).withColumns(
+            {"bytes": size.cast("long"), "task": F.spark_partition_id(), "at": F.monotonically_increasing_id()}
+        )
+        kept = lines.persist()
+        try:
+            widest = kept.agg(F.max("bytes")).first()[0] or 0
+            room = max(1, max_bytes - widest)  # a line that begins inside it ends within the limit
+            before = Window.partitionBy("task").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+            roll = F.floor(F.coalesce(F.sum("bytes").over(before), F.lit(0)) / room)
+            rows = kept.withColumn("roll", roll).select("value", "task", "roll")
+            rows.write.mode("overwrite").partitionBy("task", "roll").text(f"{path}/batch={number}")
+        finally:
+            kept.unpersist()
+
+    return write
+
+
 def console_sink(n: int = 20) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, number: int) -> None:
         batch.show(n, truncate=False)

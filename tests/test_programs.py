@@ -25,6 +25,7 @@ def test_train_then_score(spark, tmp_path):
     write_packets(tmp_path / "p.csv")
     metrics = programs.train(spark, str(tmp_path / "p.csv"), str(tmp_path / "out"))
     assert metrics["numTrees"] == 100 and metrics["iatUnit"] == "s"
+    assert metrics["rows"] == 30 and 0 < metrics["testRows"] < 30
     flows = tmp_path / "flows"
     flows.mkdir()
     for i in range(5):

@@ -94,3 +94,20 @@ def test_scoring_covers_broken_messages(spark, tmp_path):
         "flowId", "srcIp", "dstIp", "flowBytesPerSec", "flowPacketsPerSec", "attackType", "severity",
         "pqcEnabled", "kemHandshakeMs", "sigSignMs", "timestamp", "source",
     ]
+
+
+def test_files_roll_by_size(spark, tmp_path):
+    """Wide and narrow rows: no file above the limit but one that holds a single wider row."""
+    rows = [(i, "x" * (10 if i % 3 else 900)) for i in range(400)] + [(999, "y" * 5000)]
+    batch = spark.createDataFrame(rows, "a int, b string").repartition(3)
+    sink = jobs.rolling_jsonl_sink(f"{tmp_path}/out", 4000)
+    for number in (0, 1, 1):
+        sink(batch, number)
+    sink(batch.limit(0), 2)
+    files = [p for p in (tmp_path / "out").rglob("part-*") if p.suffix != ".crc"]
+    large = [p for p in files if p.stat().st_size > 4000]
+    assert len(large) == 2 and all(len(p.read_text().splitlines()) == 1 for p in large)
+    assert spark.read.json(f"{tmp_path}/out").count() == 2 * len(rows)
+    whole = jobs.rolling_jsonl_sink(f"{tmp_path}/one", 10**9)
+    whole(batch, 0)
+    assert len([p for p in (tmp_path / "one").rglob("part-*") if p.suffix != ".crc"]) <= 3
