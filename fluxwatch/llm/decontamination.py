@@ -19,27 +19,39 @@ SPAN, GRAM = 10, 5
 SENT = 100_000
 #: Parts a frequent window is split into when windows are shuffled.
 SALT = 16
-#: Words of the contract: digits, letters and anything beyond ASCII, once A-Z is in lower case.
-ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same where A-Z is still there, for counting.
-ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What lies between words; words are digits, letters and anything beyond ASCII.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 KEY = ["_d", "_h"]
 
 
 def _words(text: str) -> Column:
-    return F.regexp_extract_all(F.translate(F.col(text), UPPER, LOWER), F.lit(f"({ITEM_WORD})"), F.lit(1))
+    """The words of a text, A-Z as a-z and other letters as they are."""
+    plain = F.octet_length(F.col(text)) == F.char_length(F.col(text))
+    lowered = F.when(plain, F.lower(F.col(text))).otherwise(F.translate(F.col(text), UPPER, LOWER))
+    return F.array_remove(F.split(lowered, BETWEEN, -1), "")
+
+
+def _count(text: str) -> Column:
+    return F.coalesce(F.size(F.array_remove(F.split(F.col(text), BETWEEN, -1), "")), F.lit(0)).cast("long")
 
 
 def _windows(rows: DataFrame, words: str, length: int, out: str) -> DataFrame:
     """Adds ``out``: for each window of ``length`` words the least hash of its runs of words, in order; null where none fits."""
     gram = min(GRAM, length)
     many = length - gram + 1
-    hashes = F.transform(F.sequence(F.lit(1), F.size(words) - gram + 1), lambda i: F.xxhash64(F.slice(words, i, F.lit(gram))))
+    # elements are named one by one: a slice would copy them for every position
+    hashes = F.transform(
+        F.sequence(F.lit(0), F.size(words) - gram), lambda i: F.xxhash64(*[F.get(F.col(words), i + k) for k in range(gram)])
+    )
     held = rows.withColumn("_grams", F.when(F.size(words) >= length, hashes))
-    least = F.transform(F.sequence(F.lit(1), F.size("_grams") - many + 1), lambda i: F.array_min(F.slice("_grams", i, F.lit(many))))
-    return held.withColumn(out, F.when(F.size("_grams") >= many, least) if many > 1 else F.col("_grams")).drop("_grams")
+    if many == 1:
+        return held.withColumnRenamed("_grams", out)
+    least = F.transform(
+        F.sequence(F.lit(0), F.size("_grams") - many), lambda i: F.least(*[F.get(F.col("_grams"), i + k) for k in range(many)])
+    )
+    return held.withColumn(out, F.when(F.size("_grams") >= many, least)).drop("_grams")
 
 
 def _spans(rows: DataFrame, words: str, lengths: list[int]) -> DataFrame:
@@ -140,8 +152,7 @@ def marked(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     d, h, n, hit, rd, rh = (free(name, docs.columns) for name in (*KEY, "_n", "_hit", "_rd", "_rh"))
     results = per_doc.join(listed, "_class").select(F.col("_d").alias(rd), F.col("_h").alias(rh), F.struct("n_hit", "spans", "items").alias(hit))
     names = _identity(docs, doc_id, text)
-    counted = F.coalesce(F.regexp_count(F.col(text), F.lit(ANY_WORD)), F.lit(0)).cast("long")
-    keyed = docs.withColumns({d: names["_d"], h: names["_h"], n: counted})
+    keyed = docs.withColumns({d: names["_d"], h: names["_h"], n: _count(text)})
     joined = keyed.join(results, (F.col(d) == F.col(rd)) & (F.col(h) == F.col(rh)), "left")
     summary = F.struct(
         F.col(n).alias("n_words"),
