@@ -108,22 +108,23 @@ def _map_chunks(rows: DataFrame, by: list[str], outputs: list[str], work) -> Dat
     return rows.mapInPandas(run, schema)
 
 
+def solved(chunk: pd.DataFrame, model, rounds: int) -> np.ndarray:
+    """All rounds of series that are a single block, side by side: their parameters."""
+    data = _cells(chunk)
+    p = np.asarray(chunk["p"].tolist(), float)
+    for _ in range(rounds):
+        # a settled series stays as it is, whatever its neighbours in the batch need
+        going = ~(p[:, -1] <= SETTLED)
+        if not going.any():
+            break
+        moved = model.update(p, model.sums(p, data, model.enter(p), model.leave(p)))
+        p = np.where(going[:, None], moved, p)
+    return p
+
+
 def _solve_in_task(blocks: DataFrame, by: list[str], model, rounds: int) -> DataFrame:
     """All rounds for series that are a single block: ``by, start, p``."""
-
-    def work(chunk: pd.DataFrame) -> list[np.ndarray]:
-        data = _cells(chunk)
-        p = np.asarray(chunk["p"].tolist(), float)
-        for _ in range(rounds):
-            # a settled series stays as it is, whatever its neighbours in the batch need
-            going = ~(p[:, -1] <= SETTLED)
-            if not going.any():
-                break
-            moved = model.update(p, model.sums(p, data, model.enter(p), model.leave(p)))
-            p = np.where(going[:, None], moved, p)
-        return [p]
-
-    return _map_chunks(blocks, [*by, "start"], ["p"], work)
+    return _map_chunks(blocks, [*by, "start"], ["p"], lambda chunk: [solved(chunk, model, rounds)])
 
 
 def carries(maps: DataFrame, by: list[str], model, grouped: bool) -> DataFrame:

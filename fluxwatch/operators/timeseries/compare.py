@@ -10,9 +10,10 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fluxwatch.operators.timeseries.frame import KEY, test_rows
+from fluxwatch.operators.timeseries.frame import BLOCK, KEY, test_rows, train_rows
 from fluxwatch.operators.timeseries.linear import fit_arima, fit_arma, fit_sarima, fit_var, forecast
 from fluxwatch.operators.timeseries.regimes import fit_switching
+from fluxwatch.operators.timeseries.single import fit_single
 from fluxwatch.operators.timeseries.volatility import fit_arch, fit_garch
 from fluxwatch.session import shared_dir, written
 
@@ -38,20 +39,28 @@ def forecast_error(df: DataFrame, y: str, yhat: str, by: list[str] | None = None
 
 
 def fit_models(frame: DataFrame, names: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
-    """One row per (series, model) with its criteria, and the seconds each model
-    took over all series. Each fit is written out once, which is also its timing."""
+    """One row per (series, model) with its criteria and ``fit_seconds``.
+
+    Series of up to one block are fitted in one pass. Each model of the longer ones is a chain
+    of jobs over blocks; the seconds are then those of the chain over all these series.
+    """
     by = by or KEY
+    names = names or list(FITS)
     kept = frame.persist(StorageLevel.MEMORY_AND_DISK)
-    shared_dir(frame.sparkSession)  # settled before the threads need it
-
-    def fit(name: str) -> DataFrame:
-        begun = time.monotonic()
-        rows = written(FITS[name](kept, by=by), "fit")
-        return rows.withColumn("fit_seconds", F.lit(time.monotonic() - begun))
-
-    # a fit is a chain of small jobs: side by side they share the cores
-    with ThreadPoolExecutor(max_workers=len(FITS)) as pool:
-        done = list(pool.map(fit, names or list(FITS)))
+    done = [written(fit_single(kept, names, by), "fit")]
+    # a series that goes beyond its first block has exactly one training row at this position
+    if not train_rows(kept).filter(F.col("idx") == BLOCK).isEmpty():
+        wide = kept.filter(F.col("n_train") > BLOCK)
+        shared_dir(frame.sparkSession)  # settled before the threads need it
+
+        def fit(name: str) -> DataFrame:
+            begun = time.monotonic()
+            rows = written(FITS[name](wide, by=by), "fit")
+            return rows.withColumn("fit_seconds", F.lit(time.monotonic() - begun))
+
+        # a fit is a chain of small jobs: side by side they share the cores
+        with ThreadPoolExecutor(max_workers=len(FITS)) as pool:
+            done += pool.map(fit, names)
     kept.unpersist()
     return reduce(DataFrame.unionByName, done)
 

@@ -201,40 +201,54 @@ def per_series(rows: DataFrame, by: list[str], fit: Callable[[dict], dict], name
     return rows.mapInPandas(run, model_schema(rows, by))
 
 
-def _fit_arma(frame: DataFrame, value: str, by: list[str] | None, name: str, k: int, free: int) -> DataFrame:
+#: Models of the ARMA family: number of parameters, free coefficients, fitted to differences.
+FAMILY = {"ARMA(1,1)": (4, 2, False), "ARIMA(1,1,1)": (3, 2, True), "SARIMA": (4, 3, True)}
+
+
+def _usable(row: dict, name: str) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean taken off, lagged sums and last values without it."""
+    k, _, difference = FAMILY[name]
+    nobs = int(row["nobs"])
+    sums, head, tail = (np.asarray(row[c], float) for c in ("sums", "head", "tail"))
+    if nobs < 4 + k or row["unusable"]:
+        raise ValueError("series too short, or with values that are no numbers")
+    mean, w = 0.0, tail
+    if not difference:
+        mean, sums, w = _centre(nobs, row["total"], sums, head, tail)
+    if not sums[0] > 0:
+        raise ValueError("constant series")
+    return mean, sums, w
+
+
+def starting_point(row: dict, name: str) -> tuple[np.ndarray, float]:
+    """Where the fit of a series begins, and the mean to take off."""
+    mean, lagged_sums, w = _usable(row, name)
+    return _least_squares(_quadratic(lagged_sums, w), FAMILY[name][1])[0], mean
+
+
+def arma_row(row: dict, name: str) -> dict:
+    """The model row of a series from its sums and the fitted ``p, squares, last_e, converged``."""
+    if row["p"] is None or not row["converged"]:
+        raise ValueError("not fitted")
+    k, free, difference = FAMILY[name]
+    mean, _, w = _usable(row, name)
+    nobs, squares, (phi, theta, seasonal) = int(row["nobs"]), row["squares"], row["p"]
+    state, matrix = _arma_state("arima" if difference else "arma", phi, theta, seasonal, w, mean, row["last"], row["last_e"])
+    found = [phi, theta] + ([seasonal] if free == 3 else []) + ([] if difference else [mean])
+    return {
+        "model": name, "k": k, "nobs": nobs,
+        **criteria(gaussian_llf(squares, nobs), k, nobs),
+        "params": [*found, squares / nobs],
+        "state": list(state),
+        "matrix": np.asarray(matrix).ravel().tolist(),
+        "converged": True,
+    }
+
+
+def _fit_arma(frame: DataFrame, value: str, by: list[str] | None, name: str) -> DataFrame:
     by = by or KEY
-    kind = "arma" if name.startswith("ARMA") else "arima"
-
-    def usable(row: dict) -> tuple[float, np.ndarray, np.ndarray]:
-        """Mean taken off, lagged sums and last values without it."""
-        nobs = int(row["nobs"])
-        sums, head, tail = (np.asarray(row[c], float) for c in ("sums", "head", "tail"))
-        if nobs < 4 + k or row["unusable"]:
-            raise ValueError("series too short, or with values that are no numbers")
-        mean, w = 0.0, tail
-        if kind == "arma":
-            mean, sums, w = _centre(nobs, row["total"], sums, head, tail)
-        if not sums[0] > 0:
-            raise ValueError("constant series")
-        return mean, sums, w
-
-    def fit(row: dict) -> dict:
-        if row["p"] is None or not row["converged"]:
-            raise ValueError("not fitted")
-        mean, _, w = usable(row)
-        nobs, squares, (phi, theta, seasonal) = int(row["nobs"]), row["squares"], row["p"]
-        state, matrix = _arma_state(kind, phi, theta, seasonal, w, mean, row["last"], row["last_e"])
-        found = [phi, theta] + ([seasonal] if free == 3 else []) + ([mean] if kind == "arma" else [])
-        return {
-            "model": name, "k": k, "nobs": nobs,
-            **criteria(gaussian_llf(squares, nobs), k, nobs),
-            "params": [*found, squares / nobs],
-            "state": list(state),
-            "matrix": np.asarray(matrix).ravel().tolist(),
-            "converged": True,
-        }
-
-    sums = written(lag_sums(frame, value, by, difference=kind == "arima"), "sums")
+    k, free, difference = FAMILY[name]
+    sums = written(lag_sums(frame, value, by, difference), "sums")
     start_schema = T.StructType([sums.schema[c] for c in by] + T._parse_datatype_string("p array<double>, mean double").fields)
 
     def starts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -242,8 +256,7 @@ def _fit_arma(frame: DataFrame, value: str, by: list[str] | None, name: str, k:
             out = []
             for row in batch.to_dict("records"):
                 try:
-                    mean, lagged_sums, w = usable(row)
-                    point, _ = _least_squares(_quadratic(lagged_sums, w), free)
+                    point, mean = starting_point(row, name)
                 except (ArithmeticError, ValueError, np.linalg.LinAlgError):
                     continue
                 out.append({**{c: row[c] for c in by}, "p": point, "mean": mean})
@@ -251,23 +264,23 @@ def _fit_arma(frame: DataFrame, value: str, by: list[str] | None, name: str, k:
 
     points = written(sums.mapInPandas(starts, start_schema), "starts")
     season = SEASON if free == 3 else 0
-    best = recursion.least_squares(frame, value, by, points, kind == "arima", season)
-    return per_series(sums.join(best, by, "left"), by, fit, name, k)
+    best = recursion.least_squares(frame, value, by, points, difference, season)
+    return per_series(sums.join(best, by, "left"), by, lambda row: arma_row(row, name), name, k)
 
 
 def fit_arma(frame: DataFrame, value: str = "total", by: list[str] | None = None) -> DataFrame:
     """ARMA(1,1) around the training mean; params: phi, theta, mean, variance."""
-    return _fit_arma(frame, value, by, "ARMA(1,1)", 4, 2)
+    return _fit_arma(frame, value, by, "ARMA(1,1)")
 
 
 def fit_arima(frame: DataFrame, value: str = "total", by: list[str] | None = None) -> DataFrame:
     """ARIMA(1,1,1) without constant; params: phi, theta, variance."""
-    return _fit_arma(frame, value, by, "ARIMA(1,1,1)", 3, 2)
+    return _fit_arma(frame, value, by, "ARIMA(1,1,1)")
 
 
 def fit_sarima(frame: DataFrame, value: str = "total", by: list[str] | None = None) -> DataFrame:
     """SARIMA(1,1,1)x(1,0,0,10); params: phi, theta, seasonal phi, variance."""
-    return _fit_arma(frame, value, by, "SARIMA", 4, 3)
+    return _fit_arma(frame, value, by, "SARIMA")
 
 
 # ---- vector autoregression -------------------------------------------------
@@ -305,6 +318,57 @@ def _regress(g: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     return beta, yy - xy.T @ beta
 
 
+def var_row(row: dict, order: int | None = None) -> dict:
+    """The model row of a series from its cross products."""
+    g = np.zeros((7, 7))
+    upper = np.triu_indices(7)
+    g[upper] = np.asarray(row["products"], float)
+    g = g + g.T - np.diag(np.diag(g))
+    total = int(row["nobs"])
+    if total < 8 or row["unusable"]:
+        raise ValueError("series too short, or with values that are no numbers")
+    first, second = (np.asarray(row[c], float) for c in ("first", "second"))
+
+    def information(p: int, squares: np.ndarray, nobs: int) -> tuple[float, float, float]:
+        sign, logdet = np.linalg.slogdet(squares / nobs)
+        if sign <= 0:
+            raise ValueError("singular residuals")
+        free = 4 * p + 2
+        llf = -nobs * np.log(2 * np.pi) - 0.5 * nobs * (logdet + 2)
+        return logdet + 2 / nobs * free, logdet + np.log(nobs) / nobs * free, llf
+
+    if order is None:
+        p = min(range(3), key=lambda p: information(p, _regress(g, p)[1], total - 2)[0])
+    else:
+        p = order
+    # rows before the third enter where the order allows
+    if p < 2:
+        z = np.zeros(7)
+        z[[0, 1, 2, 3, 4]] = [1.0, *second, *first]
+        g = g + np.outer(z, z)
+    if p < 1:
+        z = np.zeros(7)
+        z[[0, 1, 2]] = [1.0, *first]
+        g = g + np.outer(z, z)
+    beta, squares = _regress(g, p)
+    nobs = total - p
+    aic, bic, llf = information(p, squares, nobs)
+    # state: (sum of both, x, y, previous x, previous y, 1), one step ahead
+    matrix = np.zeros((6, 6))
+    matrix[1:3, 5] = beta[0]
+    for j in range(p):
+        matrix[1:3, 1 + 2 * j : 3 + 2 * j] = beta[1 + 2 * j : 3 + 2 * j].T
+    matrix[0] = matrix[1] + matrix[2]
+    matrix[3, 1] = matrix[4, 2] = matrix[5, 5] = 1.0
+    x, y, x1, y1 = np.asarray(row["last"], float)
+    state = matrix @ np.array([x + y, x, y, x1, y1, 1.0])
+    return {
+        "model": "VAR", "k": 4 * p + 2, "nobs": nobs, "llf": llf, "aic": aic, "bic": bic,
+        "params": beta.ravel().tolist(), "state": state.tolist(), "matrix": matrix.ravel().tolist(),
+        "converged": True,
+    }
+
+
 def fit_var(
     frame: DataFrame,
     values: tuple[str, str] = ("tx", "rx"),
@@ -315,57 +379,7 @@ def fit_var(
     orders share, then fitted on all rows that order can use. The forecast is the
     sum of both variables. Params: constants, then lag matrices row by row."""
     by = by or KEY
-
-    def fit(row: dict) -> dict:
-        g = np.zeros((7, 7))
-        upper = np.triu_indices(7)
-        g[upper] = np.asarray(row["products"], float)
-        g = g + g.T - np.diag(np.diag(g))
-        total = int(row["nobs"])
-        if total < 8 or row["unusable"]:
-            raise ValueError("series too short, or with values that are no numbers")
-        first, second = (np.asarray(row[c], float) for c in ("first", "second"))
-
-        def information(p: int, squares: np.ndarray, nobs: int) -> tuple[float, float, float]:
-            sign, logdet = np.linalg.slogdet(squares / nobs)
-            if sign <= 0:
-                raise ValueError("singular residuals")
-            free = 4 * p + 2
-            llf = -nobs * np.log(2 * np.pi) - 0.5 * nobs * (logdet + 2)
-            return logdet + 2 / nobs * free, logdet + np.log(nobs) / nobs * free, llf
-
-        if order is None:
-            p = min(range(3), key=lambda p: information(p, _regress(g, p)[1], total - 2)[0])
-        else:
-            p = order
-        # rows before the third enter where the order allows
-        if p < 2:
-            z = np.zeros(7)
-            z[[0, 1, 2, 3, 4]] = [1.0, *second, *first]
-            g = g + np.outer(z, z)
-        if p < 1:
-            z = np.zeros(7)
-            z[[0, 1, 2]] = [1.0, *first]
-            g = g + np.outer(z, z)
-        beta, squares = _regress(g, p)
-        nobs = total - p
-        aic, bic, llf = information(p, squares, nobs)
-        # state: (sum of both, x, y, previous x, previous y, 1), one step ahead
-        matrix = np.zeros((6, 6))
-        matrix[1:3, 5] = beta[0]
-        for j in range(p):
-            matrix[1:3, 1 + 2 * j : 3 + 2 * j] = beta[1 + 2 * j : 3 + 2 * j].T
-        matrix[0] = matrix[1] + matrix[2]
-        matrix[3, 1] = matrix[4, 2] = matrix[5, 5] = 1.0
-        x, y, x1, y1 = np.asarray(row["last"], float)
-        state = matrix @ np.array([x + y, x, y, x1, y1, 1.0])
-        return {
-            "model": "VAR", "k": 4 * p + 2, "nobs": nobs, "llf": llf, "aic": aic, "bic": bic,
-            "params": beta.ravel().tolist(), "state": state.tolist(), "matrix": matrix.ravel().tolist(),
-            "converged": True,
-        }
-
-    return per_series(var_sums(frame, values, by), by, fit, "VAR", 2 if order is None else 4 * order + 2)
+    return per_series(var_sums(frame, values, by), by, lambda row: var_row(row, order), "VAR", 2 if order is None else 4 * order + 2)
 
 
 # ---- forecasts --------------------------------------------------------------
@@ -391,19 +405,20 @@ def forecast(models: DataFrame, frame: DataFrame, by: list[str] | None = None) -
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            starts, paths = [], []
-            for _, row in batch.iterrows():
-                state = np.asarray(row["state"], float)
-                matrix = np.asarray(row["matrix"], float).reshape(len(state), len(state))
-                start = int(row["part"]) * BLOCK
-                state = np.linalg.matrix_power(matrix, start) @ state
-                path = np.empty(int(row["end"]) - start)
-                for i in range(len(path)):
-                    path[i] = state[0]
-                    state = matrix @ state
-                starts.append(start)
-                paths.append(path)
-            yield batch[[*by, "model"]].assign(start=starts, path=paths)
+            # states of one size go on together, a step of all of them at a time
+            for size, part in batch.groupby(batch["state"].map(len)):
+                state = np.array(part["state"].tolist(), float)
+                matrix = np.array(part["matrix"].tolist(), float).reshape(-1, size, size)
+                start = part["part"].to_numpy(np.int64) * BLOCK
+                for at in np.unique(start[start > 0]):
+                    rows = np.flatnonzero(start == at)
+                    state[rows] = np.einsum("nij,nj->ni", np.linalg.matrix_power(matrix[rows], int(at)), state[rows])
+                sizes = part["end"].to_numpy(np.int64) - start
+                paths = np.empty((len(part), int(sizes.max())))
+                for i in range(paths.shape[1]):
+                    paths[:, i] = state[:, 0]
+                    state = np.einsum("nij,nj->ni", matrix, state)
+                yield part[[*by, "model"]].assign(start=start, path=[p[:n] for p, n in zip(paths, sizes)])
 
     made = jobs.mapInPandas(run, schema)
     return made.select(*by, "model", "start", F.posexplode("path").alias("at", "yhat")).select(

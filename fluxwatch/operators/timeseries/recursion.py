@@ -139,21 +139,31 @@ def starting(points: np.ndarray) -> np.ndarray:
     return state
 
 
+def solved(w: list[np.ndarray], ok: np.ndarray, points: np.ndarray, mean: np.ndarray, free: int, rounds: int) -> np.ndarray:
+    """States after all rounds of series of one block; each goes on until it has settled itself."""
+    state = starting(points)
+    for _ in range(rounds):
+        open_ = np.flatnonzero(state[:, _DONE] == 0)
+        if not len(open_):
+            break
+        with np.errstate(all="ignore"):
+            found = summaries([x[open_] for x in w], ok[open_], state[open_, _TRIAL], mean[open_])
+            state[open_] = stepped(state[open_], *found, free)
+    return state
+
+
+def outcome(state: np.ndarray) -> list[dict]:
+    """``p, squares, last_e, converged`` of states."""
+    return [{"p": s[_BEST], "squares": s[_COST], "last_e": s[_LAST], "converged": s[_DONE] == 1} for s in state]
+
+
 def _in_task(blocks: DataFrame, by: list[str], names: list[str], free: int, rounds: int, schema: T.StructType) -> DataFrame:
-    """All rounds of series of one block; each series goes on until it has settled itself."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for chunk in _chunks(batch) if len(batch) else ():
                 w, ok = _matrices(chunk, names)
                 mean = chunk["mean"].to_numpy(float)
-                state = starting(np.array(chunk["p"].tolist(), float))
-                for _ in range(rounds):
-                    open_ = np.flatnonzero(state[:, _DONE] == 0)
-                    if not len(open_):
-                        break
-                    with np.errstate(all="ignore"):
-                        found = summaries([x[open_] for x in w], ok[open_], state[open_, _TRIAL], mean[open_])
-                        state[open_] = stepped(state[open_], *found, free)
+                state = solved(w, ok, np.array(chunk["p"].tolist(), float), mean, free, rounds)
                 yield chunk[by].reset_index(drop=True).assign(state=list(state))
 
     return blocks.mapInPandas(run, schema)

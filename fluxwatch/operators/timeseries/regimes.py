@@ -141,6 +141,18 @@ class Switching:
         return out
 
 
+def starts_of(y: np.ndarray) -> list[list[float]]:
+    """Starting parameters of the training values of one series, as :func:`fit_switching` has them."""
+    d = float(y.std()) if len(y) else 0.0
+    if len(y) < 12 or not d > 0:
+        raise ValueError("series too short, constant, or with values that are no numbers")
+    now, before, m = y[1:], y[:-1], float(y.mean())
+    spread = float(before.var())
+    f = float(((now - now.mean()) * (before - before.mean())).mean()) / spread if spread > 0 else 0.0
+    chosen = ((0.9, 0.1, -0.8, 0.8, f, f), (0.95, 0.3, -0.2, 1.5, f * 0.5, f), (0.8, 0.2, 0.0, 0.1, f - 0.4, f + 0.4))
+    return [[stay, go, m + a * d, m + b * d, f0, f1, d * d * 0.5, -1e300, 1.0] for stay, go, a, b, f0, f1 in chosen]
+
+
 def fit_switching(
     frame: DataFrame, value: str = "total", by: list[str] | None = None, rounds: int = 400
 ) -> DataFrame:

@@ -170,6 +170,19 @@ def opening_moments(frame: DataFrame, value: str, by: list[str]) -> DataFrame:
     )
 
 
+def starts_of(y: np.ndarray, beta_free: bool) -> tuple[float, list[list[float]]]:
+    """Back-cast and starting parameters of the training values of one series, as :func:`_fit` has them."""
+    k = 4 if beta_free else 3
+    variance = float(y.var()) if len(y) else 0.0
+    if len(y) < 4 + k or not variance > 0:
+        raise ValueError("series too short, constant, or with values that are no numbers")
+    mean, early = float(y.mean()), y[:DECAY_ROWS]
+    weight = DECAY ** np.arange(len(early))
+    backcast = float((weight * early) @ early - 2 * mean * (weight @ early)) / float(weight.sum()) + mean * mean
+    points = [[mean, variance * (1 - a - b), a, b, *[0.0] * 4, -1e300, 1.0, *[0.0] * 4, 1.0] for a, b in _STARTS[beta_free]]
+    return max(backcast, 0.0), points
+
+
 def _fit(frame: DataFrame, value: str, by: list[str] | None, beta_free: bool, rounds: int) -> DataFrame:
     by = by or KEY
     name, k = ("GARCH(1,1)", 4) if beta_free else ("ARCH(1)", 3)

@@ -17,9 +17,9 @@ def spark():
 @pytest.fixture
 def small_blocks(monkeypatch):
     """Cuts series into blocks of 64 positions, groups of 3 blocks."""
-    from fluxwatch.operators.timeseries import blocks, frame, linear, recursion, volatility
+    from fluxwatch.operators.timeseries import blocks, compare, frame, linear, recursion, single, volatility
 
-    for module in (blocks, frame, linear, recursion, volatility):
+    for module in (blocks, compare, frame, linear, recursion, single, volatility):
         monkeypatch.setattr(module, "BLOCK", 64)
     for module in (blocks, recursion):
         monkeypatch.setattr(module, "FAN", 3)

@@ -425,3 +425,38 @@ def test_fits_that_do_not_settle_are_reported(spark):
         assert full["converged"] and full["llf"] is not None
     models = compare.fit_models(frame_of(spark, {"a": np.ones(50)}), ["GARCH(1,1)", "TAR", "ARMA(1,1)"])
     assert [r["converged"] for r in models.collect()] == [False] * 3
+
+
+def test_one_pass_equals_fits_one_by_one(spark):
+    """Packed series and the fits over blocks give the same rows, unusable series included."""
+    named = {
+        "long": 50 + np.cumsum(arma(400, 0.4, 0.2, 1)), "season": 20 + arma(300, 0.5, 0.1, 2, seasonal=0.4), "calm": garch(350, 5.0, 0.3, 0.2, 0.6, 3),
+        "modes": regime_series(300, 4), "flat": np.ones(50), "short": np.arange(5.0) ** 2, "hole": np.r_[arma(40, 0.3, 0.1, 5), np.nan, np.ones(30)],
+    }
+    frame = frame_of(spark, named).cache()
+    packed = compare.fit_models(frame).drop("fit_seconds").toPandas().set_index(["model", "series_id"])
+    assert len(packed) == len(named) * len(compare.FITS)
+    for name, fit in compare.FITS.items():
+        for row in fit(frame).collect():
+            got = packed.loc[(name, row["series_id"])]
+            assert bool(got["converged"]) == bool(row["converged"]), (name, row["series_id"])
+            if not row["converged"]:
+                assert pd.isna(got["aic"])
+                continue
+            assert (got["k"], got["nobs"]) == (row["k"], row["nobs"])
+            for c in ("llf", "aic", "bic"):
+                assert got[c] == pytest.approx(row[c], rel=1e-7), (name, row["series_id"], c)
+            np.testing.assert_allclose(got["params"], row["params"], rtol=2e-4, atol=2e-4, err_msg=f"{name} {row['series_id']}")
+            if row["state"] is not None:
+                np.testing.assert_allclose(got["state"], row["state"], rtol=1e-3, atol=1e-3)
+
+
+def test_table_of_long_and_short_series(spark, request):
+    """Series beyond a block take the chain of jobs, the others one pass; the table has both."""
+    named = {"brief": 50 + arma(60, 0.4, 0.2, 1), "long": 50 + arma(400, 0.4, 0.2, 2)}
+    whole = {r["series_id"]: r for r in compare.fit_models(frame_of(spark, named), ["ARMA(1,1)"]).collect()}
+    request.getfixturevalue("small_blocks")
+    cut = {r["series_id"]: r for r in compare.fit_models(frame_of(spark, named), ["ARMA(1,1)"]).collect()}
+    assert cut.keys() == whole.keys() == named.keys()
+    for k in named:
+        np.testing.assert_allclose(cut[k]["params"], whole[k]["params"], rtol=1e-5)
