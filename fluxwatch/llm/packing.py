@@ -3,7 +3,8 @@
 Documents become pieces of at most one sequence. Piece lengths, rounded up to classes, give a
 histogram; a linear program over patterns (how many pieces of each class share a sequence)
 is solved by column generation, a knapsack dynamic program pricing new patterns against the
-program's duals. Rounded patterns are dealt to the pieces by their rank in their class. The driver sees
+program's duals. Rounded patterns are dealt to the pieces by their rank in their class. Short pieces of one
+length are packed as bundles, so that rounding costs a bundle a few tokens and not each piece. The driver sees
 the histogram only, whose size is that of the sequence, not of the data.
 """
 
@@ -24,6 +25,8 @@ from fluxwatch.llm.tokens import encoder, vocabulary
 CAPACITY, END_ID = 4096, 2
 #: Tokens between two length classes.
 STEP = 8
+#: Shares of a sequence: pieces up to the first are bundled, a bundle holds up to the second.
+SHORT, BUNDLE = 16, 4
 #: The program counts as solved when no solution can be better by this share (Farley's bound).
 GAP = 1e-3
 STEPS, SHIFT = 12, 1e-3
@@ -171,17 +174,42 @@ def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(cut, schema)
 
 
+def bundles(counts: dict[int, int], capacity: int, step: int) -> tuple[np.ndarray, dict[int, list[tuple[int, int, int, int]]]]:
+    """Items per class, and where pieces become items.
+
+    ``counts`` has the pieces of each class of long ones (positive) and of each length of short ones
+    (negative). A short length's bundles are [(first rank, pieces each, class, first place in the class)]: the whole
+    ones, then what is left as one.
+    """
+    items = np.zeros(-(-capacity // step), np.int64)
+    for size, n in counts.items():
+        if size > 0:
+            items[size - 1] += n
+    where: dict[int, list[tuple[int, int, int, int]]] = {}
+    for size, n in sorted(counts.items()):
+        if size > 0:
+            continue
+        each = max(1, capacity // BUNDLE // -size)
+        for first, held, times in ((0, each, n // each), (n - n % each, n % each, 1)):
+            if held and times:
+                unit = -(-held * -size // step)
+                where.setdefault(size, []).append((first, held, unit, int(items[unit - 1])))
+                items[unit - 1] += times
+    return items, where
+
+
 def packed(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, step: int = STEP, keep_ids: bool = False) -> DataFrame:
     """Pieces with ``sequence_id`` and their gapless ``offset`` in it.
 
     A document of up to one sequence stays whole; a longer one fills sequences and its rest
     is packed. No sequence is above ``capacity``. An empty table packs to nothing.
     """
-    classed = pieces(docs, path, doc_id, text, capacity, keep_ids).withColumn("_class", F.ceil(F.col("length") / step).cast("int"))
+    length = F.col("length")
+    kind = F.when(length <= capacity // SHORT, -length).otherwise(F.ceil(length / step)).cast("int")
+    classed = pieces(docs, path, doc_id, text, capacity, keep_ids).withColumn("_class", kind)
     ranked = numbered(classed, ["_class"], "pieces", "_rank")
-    units = -(-capacity // step)
     counts = {r["_class"]: r["n"] for r in ranked.groupBy("_class").agg(F.count("*").alias("n")).collect()}  # at most one row a class
-    demand = np.array([counts.get(j + 1, 0) for j in range(units)], np.int64)
+    demand, where = bundles(counts, capacity, step)
     # where a class's ranks go: from rank ``slot`` on to sequences from ``base`` on, ``each`` to a sequence
     routes: dict[int, list[tuple[int, int, int]]] = {}
     slots: Counter = Counter()
@@ -196,7 +224,13 @@ def packed(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     @F.pandas_udf("long")
     def sequence(sizes: pd.Series, ranks: pd.Series) -> pd.Series:
         out = np.zeros(len(sizes), np.int64)
-        size, rank = sizes.to_numpy(), ranks.to_numpy()
+        size, rank = sizes.to_numpy().copy(), ranks.to_numpy().copy()
+        for s in np.unique(size[size < 0]):
+            rows = np.flatnonzero(size == s)
+            old = rank[rows]
+            for first, held, unit, base in where[int(s)]:
+                mine = old >= first
+                size[rows[mine]], rank[rows[mine]] = unit, base + (old[mine] - first) // held
         for s in np.unique(size):
             rows = np.flatnonzero(size == s)
             slot, first, each = lookup[int(s)]

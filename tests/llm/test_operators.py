@@ -457,6 +457,42 @@ def test_embedding_links(spark):
     assert embeddings.linked(frame.where("vec_id BETWEEN 700 AND 703")).count() == 4
 
 
+def test_embeddings_of_every_length_and_magnitude(spark):
+    """Links within each length; norms that would under- or overflow count."""
+    vectors = {
+        1: [1.0, 0.0, 0.0], 2: [2.0, 0.1, 0.0], 3: [0.0, 0.0, 1.0], 4: [1.0, 0.0], 5: [3.0, 0.0], 6: [0.0, 1.0],
+        7: [1e-200, 0.0, 0.0, 0.0], 8: [1e-200, 1e-202, 0.0, 0.0], 9: [0.0, 0.0, 1e200, 0.0], 10: [0.0, 0.0, 1e200, 1.0], 11: [5e-324, 0.0, 0.0, 0.0], 12: [2.0], 13: [-2.0],
+    }
+    rows = [(k, v) for k, v in vectors.items()] + [(20 + i, [float(i + 1), 1.0, 0.0, 0.0, 0.0, 0.0, 0.0]) for i in range(9)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    flat = [(k, np.array(v) / max(map(abs, v))) for k, v in rows]
+    near = {k: {j for j, w in flat if j != k and len(w) == len(v) and v @ w / np.sqrt((v @ v) * (w @ w)) >= 0.9} for k, v in flat}
+    for interval in (2, 4096):
+        got = {r["vec_id"]: r for r in embeddings.linked(frame, interval=interval).collect()}
+        assert {k: r["n_links"] for k, r in got.items()} == {k: len(v) for k, v in near.items()}
+        assert [got[k]["component_id"] for k in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13)] == [1, 1, 3, 4, 4, 6, 7, 7, 9, 9, 7, 12, 13]
+
+
+def test_short_pieces_fill_their_sequences(spark):
+    """Texts of one to forty tokens: hardly any padding, and every sequence within its capacity."""
+    pick = np.random.default_rng(4)
+    rows = [(i, None) for i in range(9000)] + [(10_000 + i, "the " * int(n)) for i, n in enumerate(pick.integers(1, 40, 3000))]
+    got = packing.packed(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), tokens.vocabulary("word_bpe_49k.json")).toPandas()
+    assert sorted(got.doc_id) == sorted(k for k, _ in rows)
+    fill = got.groupby("sequence_id").length.sum()
+    assert fill.max() <= 4096 and len(fill) == -(-int(got.length.sum()) // 4096)
+    placed = got.sort_values(["sequence_id", "offset"])
+    assert (placed.offset == placed.groupby("sequence_id").length.cumsum() - placed.length).all()
+
+
+def test_bundles_hold_every_short_piece():
+    counts = {-1: 2050, -7: 300, -256: 9, 40: 5, 128: 3}
+    items, where = packing.bundles(counts, 4096, 8)
+    held = {s: sum(h * (n // h if first == 0 and h == max(1, 1024 // -s) else 1) for first, h, _, _ in w for n in [counts[s]]) for s, w in where.items()}
+    assert held == {s: n for s, n in counts.items() if s < 0}
+    assert items[39] == 5 and items.sum() == 5 + 3 + 3 + 3 + 3
+
+
 # --- packing's program beside a live session ---------------------------------
 
 
