@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -29,6 +30,24 @@ def drop_folder(df: DataFrame) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+_KEPT: dict = {}
+
+
+def kept(make: Callable, path: str):
+    """``make(path)``, kept for later calls in this worker. Whatever was kept before is let go first: a reused
+    worker would else hold the words of every vocabulary it has met."""
+    key = (make, path)
+    if key not in _KEPT:
+        let_go()
+        _KEPT[key] = make(path)
+    return _KEPT[key]
+
+
+def let_go() -> None:
+    """Frees what :func:`kept` holds, for work that needs no vocabulary."""
+    _KEPT.clear()
+
+
 def free(name: str, taken: list[str]) -> str:
     """``name``, with as many underscores before it as it takes to differ from all the names ``taken``."""
     used = {t.lower() for t in taken}

@@ -11,14 +11,13 @@ from __future__ import annotations
 
 import math
 import re
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluxwatch.llm.common import table
+from fluxwatch.llm.common import kept, table
 from fluxwatch.llm.tokens import LONGEST, REMEMBERED, SEGMENT_CHARS, WIDE, vocabulary
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -119,9 +118,8 @@ class Pieces:
         return size, float(n[self.bytes[tokens]].sum()) / size, entropy
 
 
-@lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
-    return Pieces(path)
+    return kept(Pieces, path)
 
 
 def band_of(text: str, lang: str | None, bands: dict) -> str:

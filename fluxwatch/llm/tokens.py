@@ -13,14 +13,13 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluxwatch.llm.common import table, utf8_bytes
+from fluxwatch.llm.common import kept, table, utf8_bytes
 
 #: White space as the tokenizers' patterns see it (fixed values: Unicode property White_Space),
 #: and the part of it below 256, whose classes match much faster.
@@ -194,10 +193,9 @@ class Encoder:
         return sum(map(len, self.parts(text))) // 4
 
 
-@lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
-    """One encoder for each file and Python worker."""
-    return Encoder(path)
+    """The encoder of a file, one at a time in each Python worker."""
+    return kept(Encoder, path)
 
 
 def vocabulary(name: str) -> str:
