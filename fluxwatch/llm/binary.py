@@ -34,8 +34,8 @@ MAGIC, VERSION, HEAD = b"FXID", 1, "<4sBBI16s"
 #: Documents the dictionary is trained on, bytes taken of each, and the dictionary's size.
 SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 8192, 65536
 BLOCK_BYTES, LEVEL = 1 << 20, 3
-#: Documents compressed before their frames go on.
-ROWS = 500
+#: Documents compressed before their frames go on, and bytes of frames of one range of ids, about.
+ROWS, RANGE_BYTES = 500, 16 << 20
 
 
 def packed_ids(ids: bytes, width: int) -> bytes:
@@ -59,6 +59,13 @@ def train(samples: list[bytes]) -> bytes:
         return b""
 
 
+def sample_of(stored: bytes, width: int) -> bytes:
+    """At most SAMPLE_BYTES in a row of a document's stored ids, from a place its content chooses."""
+    places = max(0, len(stored) - SAMPLE_BYTES) // width + 1
+    start = zlib.crc32(stored) % places * width
+    return stored[start:start + SAMPLE_BYTES]
+
+
 def _shared(dictionary: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(dictionary) if dictionary else None
 
@@ -109,7 +116,7 @@ def write_ids(docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", t
     @F.pandas_udf("binary")
     def sampled(texts: pd.Series) -> pd.Series:
         use = encoder(path)
-        return pd.Series([packed_ids(use.ids(t or "") + end, width)[:SAMPLE_BYTES] for t in texts])
+        return pd.Series([sample_of(packed_ids(use.ids(t or "") + end, width), width) for t in texts])
 
     chosen = named.select("doc_id").distinct().orderBy(F.xxhash64("doc_id")).limit(SAMPLE)
     rows = named.join(F.broadcast(chosen), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id")).limit(SAMPLE)
@@ -134,7 +141,8 @@ def write_ids(docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", t
 
     # the ranges are sampled and then dealt: written first, or every text would be encoded twice
     encoded = written(named.mapInArrow(compress, "doc_id long, n long, tie long, frame binary"), "frames")
-    parts = max(1, -(-encoded.count() // 20_000), spark.sparkContext.defaultParallelism)
+    size = encoded.agg(F.sum(F.length("frame") + 64)).first()[0] or 0  # a row has its keys too
+    parts = max(1, -(-size // RANGE_BYTES), spark.sparkContext.defaultParallelism)
     ties = encoded.withColumn("_again", F.monotonically_increasing_id())
     ordered = ties.repartitionByRange(parts, "doc_id", "tie", "_again").sortWithinPartitions("doc_id", "tie", "_again")
     ordered = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "n", "frame")
