@@ -1,43 +1,43 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates come from SimHash: 256 bits over a text's distinct shingles, the first 64 compared bit
-plane by bit plane (``simhash.close_lanes``) within ``FIRST`` bits, all 256 within ``WHOLE``. At a
-similarity of 0.8 texts lie 9.7 of 64 and 39 of 256 bits apart on average, unrelated ones 32 and 128, so
-hardly a pair is missed and few are looked at in vain. So wide a radius leaves no parts of the bits to agree
-on; instead sets meet that share the least shingle under one of ``WORDS`` hashes. A pair at similarity J
-shares none with probability (1 - J) ** 4, 0.2 % at 0.8; unrelated texts hardly ever share one, so
-the work grows with the texts. A bucket of more than ``CUT`` sets (a shingle that very many texts
-have) is dealt again by one more least shingle, and what is still as large is compared cut by cut. Each link is then
-confirmed on the shingle sets themselves.
-
-Links are found in two rounds, so that a large group of copies gives no pair for each two of its
-members: first each group of candidates is linked to one member, then all candidates that
-confirmed links have not joined are confirmed pair by pair.
+A set's shingles are put in the order of their hashes. Two sets at 0.8 share more than their tails, so both have
+one of the shingles they share among their first ``prefix(size)`` (a fifth of the set): sets meet that
+share one of these, and no pair is missed. Sets that meet are candidates if their sizes allow 0.8 and their
+SimHash bits, 256 over the distinct shingles, are close: the first 64, compared bit plane by bit plane
+(``simhash.close_lanes``), within ``FIRST``, all within ``WHOLE``. At 0.8 these lie 9.7 and 39 bits apart on
+average (small sets 12 and 48), unrelated ones 32 and 128; the radii are more than five standard deviations
+above, so a pair at 0.8 fails them once in 100 million.
+
+Candidates are never listed pair by pair: a bucket gives a spanning forest of them, the components of the forests
+are groups, and each set goes to the tasks of its group once a cut. There the overlaps of whole sets are counted and the
+links at 0.8 kept, a spanning forest again. So the rows grow with the texts and not with the pairs of a large group.
+Buckets and groups above a size are cut, and all pairs of cuts compared.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fluxwatch.llm.common import Groups, components, let_go
 from fluxwatch.llm.simhash import BATCH, BITS, SEED, close_lanes, majority, shingles, transpose
 from fluxwatch.session import written
 
-WIDTH, JACCARD = 5, 0.8
-#: Bits by which candidates may differ: of the first 64, of all.
-FIRST, WHOLE, WORDS = 20, 72, 4
+WIDTH, WORDS = 5, 4
+#: Bits by which candidates may differ: of the first 64, of all, of all if a set has fewer than ``SMALL`` shingles.
+FIRST, WHOLE, WIDE, SMALL = 30, 72, 96, 64
 #: Sets of one side of a comparison at most (on average over the cuts of a bucket), and rows compared at a time at least.
 CUT, ROWS = 8192, 1 << 16
-#: Pairs with one set that meet in a task.
-PAIRS = 1024
-SKETCH, LEAST = [f"f{i}" for i in range(WORDS)], [f"m{i}" for i in range(WORDS)]
-KEY = ["which", "bucket", "pair"]
+#: The same of a group of candidates: sets, and shingles in them.
+PAIRS, SHINGLES = 4096, 1 << 20
+#: Sets of which the keys are broadcast to the texts; more are joined by a shuffle.
+FEW = 100_000
+SKETCH, KEY = [f"f{i}" for i in range(WORDS)], ["bucket", "pair"]
 ALL = ~np.uint64(0)
 
 
@@ -59,29 +59,33 @@ def mixed(hashes: np.ndarray, word: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def prefix(size: int) -> int:
+    """How many first shingles of a set of ``size`` a set at 0.8 shares one of, whatever the order."""
+    return size - (4 * size + 4) // 5 + 1 if size else 0
+
+
 def sketch(found: np.ndarray) -> tuple:
-    """(name of the set, its size, 256 bits in signed longs, its least hash under each of as many orders)."""
+    """(name of the set, its size, 256 bits in signed longs, its first shingles)."""
     name = xxhash.xxh64_intdigest(found.tobytes(), SEED)
     words = [mixed(found, i) for i in range(WORDS)]
-    least = [int(w.view("<i8").min()) if len(w) else 0 for w in words]
-    return (name - (1 << BITS) if name >> (BITS - 1) else name, len(found), *(majority(iter([w])) for w in words), *least)
+    return (name - (1 << BITS) if name >> (BITS - 1) else name, len(found), *(majority(iter([w])) for w in words), found[:prefix(len(found))].view("<i8"))
 
 
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
+def alike(both: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sets of sizes ``a`` and ``b`` with ``both`` shingles in common have a Jaccard similarity of 0.8."""
+    return 5 * both >= 4 * (a + b - both)
 
 
-def close_pairs(bits: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of the pairs within both radii, each row compared with the rows from ``low`` to before ``high``."""
+def close_pairs(bits: np.ndarray, sizes: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs within the radii, each row compared with the rows from ``low`` to before ``high``."""
     blocks = -(-len(bits) // 64)
     filled = np.zeros(blocks * 64, "<u8")
     filled[:len(bits)] = bits[:, 0]
     planes = transpose(filled.reshape(blocks, 64))
     asks = np.where(high > low, (high - 1) // 64 - low // 64 + 1, 0)
     steps = np.cumsum(asks)
-    for at in range(0, int(steps[-1]), BATCH):
-        flat = np.arange(at, min(at + BATCH, int(steps[-1])))
+    for at in range(0, int(steps[-1]), BATCH // 4):
+        flat = np.arange(at, min(at + BATCH // 4, int(steps[-1])))
         row = np.searchsorted(steps, flat, "right")
         block = low[row] // 64 + flat - (steps[row] - asks[row])
         # the lanes of the block that lie in the row's range
@@ -91,100 +95,142 @@ def close_pairs(bits: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator
         found = np.flatnonzero(hits)
         pair, lane = np.nonzero(np.unpackbits(hits[found].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
         a, b = row[place[found[pair]]], block[place[found[pair]]] * 64 + lane
-        near = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64) <= WHOLE
+        radius = np.where(np.minimum(sizes[a], sizes[b]) < SMALL, WIDE, WHOLE)
+        near = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64) <= radius
         yield a[near], b[near]
 
 
-def compared(rows: pd.DataFrame, stars: bool) -> pd.DataFrame:
-    """Candidate pairs (a, b) of rows sorted by key and side: each group of a key linked to one row, or
-    all pairs of different components."""
-    names, parts, side = (rows[c].to_numpy() for c in ("node", "component", "side"))
-    keys, at = rows[KEY].to_numpy(np.int64), np.arange(len(rows))
+def runs(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """First places and sizes of the keys of sorted rows."""
+    keys = rows[KEY].to_numpy(np.int64)
     first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
-    sizes = np.diff(np.r_[first, len(rows)])
-    end = np.repeat(first + sizes, sizes)
-    second = end - np.repeat(np.add.reduceat((side == 2).astype(np.int64), first), sizes)
-    low = np.where(side == 0, at + 1, np.where(side == 1, second, at))
-    high = np.where(side == 2, at, end)
-    groups, found = Groups(len(rows)), []
-    for a, b in close_pairs(np.ascontiguousarray(rows[SKETCH].to_numpy(np.int64)).view(np.uint64), low, high):
-        if stars:
-            groups.link(a, b)
-        else:
-            apart = parts[a] != parts[b]
-            found.append(np.stack([names[a[apart]], names[b[apart]]]))
-    if stars:
-        joined = np.flatnonzero(groups.label != at)
-        found = [np.stack([names[groups.label[joined]], names[joined]])]
-    pairs = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
-    return pd.DataFrame({"a": np.minimum(*pairs), "b": np.maximum(*pairs)})
-
-
-def whole_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sorted rows in parts that hold keys whole; a key has two sides at most."""
+    return first, np.diff(np.r_[first, len(rows)])
+
+
+def compared(rows: pd.DataFrame) -> pd.DataFrame:
+    """A spanning forest (a, b) of the candidates inside each key, of rows sorted by key, side and size."""
+    names, sizes, side = (rows[c].to_numpy(np.int64) for c in ("node", "size", "side"))
+    at = np.arange(len(rows))
+    first, held = runs(rows)
+    key = np.repeat(np.arange(len(first)), held)
+    # a row meets rows behind it: of side 1 those of side 2, of side 0 its own, as far as the larger size allows 0.8
+    step = int(sizes.max()) + 1
+    place = (2 * key + (side == 2)) * step
+    low = np.where(side == 0, at + 1, np.searchsorted(place + sizes, place + step + (4 * sizes + 4) // 5))
+    high = np.searchsorted(place + sizes, np.where(side == 0, place, place + step) + np.minimum(5 * sizes // 4, step - 1), "right")
+    high = np.where(side == 2, low, high)
+    groups = Groups(len(rows))
+    for a, b in close_pairs(np.ascontiguousarray(rows[SKETCH].to_numpy(np.int64)).view(np.uint64), sizes, low, high):
+        groups.link(a, b)
+    joined = np.flatnonzero(groups.label != at)
+    return pd.DataFrame({"a": names[groups.label[joined]], "b": names[joined]})
+
+
+def linked(sets: list[np.ndarray], side: np.ndarray) -> np.ndarray:
+    """For each set the place of one it is linked with, over any number of links at 0.8; only sets of the sides 1 and 2, or
+    of side 0, are compared. A set that is linked asks those only that are not yet."""
+    n, label, waiting = len(sets), np.arange(len(sets)), np.ones(len(sets), bool)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    owner = np.repeat(np.arange(n), sizes)
+    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[code] > 1
+    code, owner = code[shared], owner[shared]
+    codes = np.split(code, np.searchsorted(owner, np.arange(1, n)))
+    order = np.argsort(code, kind="stable")
+    lists, listed = owner[order], code[order]
+    start, kept = np.searchsorted(listed, np.arange(len(times) + 1)), n
+    for seed in range(n):
+        if not waiting[seed]:
+            continue
+        waiting[seed] = False
+        asking = [seed]
+        while asking and (left := int(waiting.sum())):
+            if 2 * left <= kept:  # lists without the sets already linked
+                those = waiting[lists]
+                lists, listed, kept = lists[those], listed[those], left
+                start = np.searchsorted(listed, np.arange(len(times) + 1))
+            x = asking.pop()
+            begin, long = start[codes[x]], start[codes[x] + 1] - start[codes[x]]
+            met = lists[np.repeat(begin - np.cumsum(long) + long, long) + np.arange(long.sum())]
+            both = np.bincount(met, minlength=n)
+            apart = side != side[x] if side[x] else np.ones(n, bool)
+            new = np.flatnonzero(waiting & apart & (both > 0) & alike(both, sizes[x], sizes))
+            label[new], waiting[new] = seed, False
+            asking.extend(new.tolist())
+    return label
+
+
+def confirmed_in(rows: pd.DataFrame) -> pd.DataFrame:
+    """A spanning forest (a, b) of the links inside each key, of rows sorted by key."""
+    names, side = rows["node"].to_numpy(np.int64), rows["side"].to_numpy(np.int64)
+    sets, label = [np.frombuffer(s, "<u8") for s in rows["set"]], np.arange(len(rows))
+    for at, n in zip(*runs(rows)):
+        if n > 1:
+            label[at:at + n] = at + linked(sets[at:at + n], side[at:at + n])
+    joined = np.flatnonzero(label != np.arange(len(rows)))
+    return pd.DataFrame({"a": names[label[joined]], "b": names[joined]})
+
+
+def whole_keys(batches: Iterator[pd.DataFrame], weight: Callable[[pd.DataFrame], int]) -> Iterator[pd.DataFrame]:
+    """Sorted rows in parts that hold keys whole, of a weight of ``ROWS`` about; a key has two sides at most."""
     held: list[pd.DataFrame] = []
     size = 0
     for batch in batches:
         held.append(batch)
-        size += len(batch)
+        size += weight(batch)
         if size < ROWS:
             continue
         rows = pd.concat(held, ignore_index=True)
-        keys = rows[KEY].to_numpy(np.int64)
-        cut = len(rows) - int((keys == keys[-1]).all(axis=1).sum())
+        cut = int(runs(rows)[0][-1])
         if cut:
             yield rows.iloc[:cut].reset_index(drop=True)
-        held, size = [rows.iloc[cut:]], len(rows) - cut
-    if size:
+        held = [rows.iloc[cut:]]
+        size = weight(held[0])
+    if sum(map(len, held)):
         yield pd.concat(held, ignore_index=True)
 
 
-def candidates(sets: DataFrame, stars: bool) -> DataFrame:
-    """Pairs (a, b) of ``sets`` (node, sketch, least shingles, component): sets that share a least shingle meet."""
-    def shared(rows: DataFrame) -> DataFrame:
-        """Rows of buckets with more than one set, and the bucket's size ``n``."""
-        return rows.join(rows.groupBy("which", "bucket").agg(F.count("*").alias("n")).where("n > 1"), ["which", "bucket"])
-
-    first = shared(sets.select("node", "component", *SKETCH, *LEAST, F.posexplode(F.array(*LEAST)).alias("which", "bucket")))
-    again = first.where(F.col("n") > CUT).select("*", F.posexplode(F.array(*LEAST)).alias("_other", "_least")).where("_other != which")
-    again = again.withColumns({"which": WORDS + F.col("which") * WORDS + F.col("_other"), "bucket": F.xxhash64("bucket", "_least")})
-    buckets = first.where(F.col("n") <= CUT).drop(*LEAST).unionByName(shared(again.drop("n", "_other", "_least", *LEAST)))
-    cuts = F.ceil(F.col("n") / CUT)
-    spread = buckets.withColumns({"_cuts": cuts, "_mine": F.pmod(F.xxhash64("node"), cuts)})
+def in_tasks(rows: DataFrame, cuts: Column, columns: list[str], order: list[str], work: Callable[[pd.DataFrame], pd.DataFrame], weight: Callable[[pd.DataFrame], int] = len) -> DataFrame:
+    """Pairs (a, b) that ``work`` finds in the rows of each ``bucket``, which is dealt in ``cuts``: each
+    pair of cuts is the work of one task."""
+    spread = rows.withColumn("_cuts", cuts.cast("long")).withColumn("_mine", F.pmod(F.xxhash64("node"), F.col("_cuts")))
     spread = spread.withColumn("_with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_cuts") - 1)))
     # cut i goes to the tasks of all pairs (i, j): alone (side 0) as (i, i), else as the lower or upper side
     tasks = spread.select(
-        F.col("which").cast("long").alias("which"), "bucket", (F.least("_mine", "_with") * F.col("_cuts") + F.greatest("_mine", "_with")).alias("pair"),
-        F.when(F.col("_mine") == F.col("_with"), 0).when(F.col("_mine") < F.col("_with"), 1).otherwise(2).alias("side"), "node", "component", *SKETCH,
+        "bucket", (F.least("_mine", "_with") * F.col("_cuts") + F.greatest("_mine", "_with")).alias("pair"),
+        F.when(F.col("_mine") == F.col("_with"), 0).when(F.col("_mine") < F.col("_with"), 1).otherwise(2).alias("side"), *columns,
     )
-    ordered = tasks.repartition(*KEY).sortWithinPartitions(*KEY, "side")
+    ordered = tasks.repartition(*KEY).sortWithinPartitions(*KEY, "side", *order)
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in whole_keys(batches):
-            yield compared(rows, stars)
+        for part in whole_keys(batches, weight):
+            yield work(part)
 
-    return ordered.mapInPandas(pairs, "a long, b long").distinct()
+    return ordered.mapInPandas(pairs, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, keyed: DataFrame, named: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) those whose sets have the similarity. ``named`` has the keys of a document of each node."""
+def candidates(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) that connect all candidates of ``sets`` (node, size, sketch, first): at most one a set and bucket."""
+    met = sets.select("node", F.explode("first").alias("bucket"))
+    met = met.join(met.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket")
+    rows = met.join(sets.select("node", "size", *SKETCH), "node")
+    return in_tasks(rows, F.ceil(F.col("n") / CUT), ["node", "size", *SKETCH], ["size", "node"], compared)
+
+
+def confirmed(groups: DataFrame, keyed: DataFrame, named: DataFrame) -> DataFrame:
+    """Pairs (a, b) that connect all sets of one similarity group: of each of the ``groups`` (node, component) of candidates
+    the whole sets are compared. ``named`` has the size and the keys of a document of each node."""
     @F.pandas_udf("binary")
     def set_of(column: pd.Series) -> pd.Series:
         return pd.Series([shingle_set(t).tobytes() for t in column], dtype=object)
 
-    @F.pandas_udf("boolean")
-    def similar(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([jaccard(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")) >= JACCARD for a, b in zip(left, right)], dtype=bool)
-
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = keyed.join(named.join(asked, "node"), ["_keep_d", "_keep_h"]).select("node", set_of("_text").alias("set"))
-    sets = written(texts.dropDuplicates(["node"]), "shingles")
-    # a set in very many pairs is sent to several tasks
-    shares = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS).alias("shares"))
-    salted = pairs.join(shares, "a").withColumn("share", F.pmod(F.xxhash64("b"), F.col("shares")))
-    left = sets.join(shares, sets["node"] == shares["a"]).select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"), F.col("set").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("set").alias("right"))
-    return salted.join(right, "b").join(left, ["a", "share"]).where(similar("left", "right")).select("a", "b")
+    inside = named.join(groups.withColumnRenamed("component", "bucket"), "node")
+    sizes = inside.groupBy("bucket").agg(F.greatest(F.ceil(F.count("*") / PAIRS), F.ceil(F.sum("size") / SHINGLES)).alias("cuts"))
+    asked = written(inside.drop("size").join(sizes, "bucket"), "asked")
+    few = F.broadcast(asked) if asked.count() <= FEW else asked
+    texts = keyed.join(few, ["_keep_d", "_keep_h"]).dropDuplicates(["node"])
+    rows = texts.select("bucket", "cuts", "node", set_of("_text").alias("set"))
+    return in_tasks(rows, F.col("cuts"), ["node", "set"], ["node"], confirmed_in, lambda part: sum(map(len, part["set"])) >> 8)
 
 
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -193,26 +239,21 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     whose other columns have the smallest hash. A null id counts as the largest. Texts without words are one
     group. Columns stay as they are.
     """
-    @F.pandas_udf("node long, size long, " + ", ".join(f"{f} long" for f in [*SKETCH, *LEAST]))
+    @F.pandas_udf("node long, size long, " + ", ".join(f"{f} long" for f in SKETCH) + ", first array<long>")
     def sketched(column: pd.Series) -> pd.DataFrame:
         let_go()
-        return pd.DataFrame([sketch(shingle_set(t)) for t in column], columns=["node", "size", *SKETCH, *LEAST], dtype="int64")
+        made = pd.DataFrame([sketch(shingle_set(t)) for t in column], columns=["node", "size", *SKETCH, "first"])
+        return made.astype({c: "int64" for c in ["node", "size", *SKETCH]})
 
     keys = {"_keep_d": F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1)), "_keep_h": F.xxhash64(F.col(text))}
     keyed = docs.withColumns(keys)
-    first = F.struct("_keep_d", "_keep_h")
     marked = written(keyed.withColumn("_s", sketched(text)).select("_keep_d", "_keep_h", "_s.*"), "sketches")
-    alone = F.col("node").alias("component")
-    sets = written(marked.groupBy("node", "size", *SKETCH, *LEAST).agg(F.min(first).alias("_least")).select("*", alone), "sets")
-    named = sets.select("node", "_least.*")
+    least = F.min(F.struct("_keep_d", "_keep_h")).alias("_least")
+    sets = written(marked.groupBy("node", "size", *SKETCH, "first").agg(least), "sets")
+    groups = components(candidates(sets))
     texts = keyed.select("_keep_d", "_keep_h", F.col(text).alias("_text"))
-    links = written(confirmed(written(candidates(sets, True), "candidates"), texts, named), "links")
-    joined = components(links).withColumnRenamed("component", "_joined")
-    grouped = sets.join(joined, "node", "left").withColumn("component", F.coalesce("_joined", "component")).drop("_joined")
-    rest = written(candidates(written(grouped, "grouped"), False), "candidates")
-    links = links.unionByName(written(confirmed(rest, texts, named), "links"))
-    joined = components(links).withColumnRenamed("component", "_joined")
-    final = sets.join(joined, "node", "left").withColumn("component", F.coalesce("_joined", "component"))
+    links = confirmed(groups, texts, sets.select("node", "size", "_least.*"))
+    final = sets.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
     keep = final.groupBy("component").agg(F.min("_least").alias("_least")).select("_least.*")
     rest_of = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]  # maps have no hash
     one = Window.partitionBy("_keep_d", "_keep_h").orderBy(F.xxhash64(*rest_of) if rest_of else F.lit(0))
