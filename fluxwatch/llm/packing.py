@@ -161,8 +161,8 @@ def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
         use, end = encoder(path), END_ID.to_bytes(4, "little")
         for frame in frames:
             rows = []
-            for key, body in zip(frame["doc_id"], frame["text"]):
-                ids = memoryview((use.ids(body) if body else b"") + end)
+            for key, body in zip(frame["doc_id"], use.each(frame["text"])):
+                ids = memoryview(body + end)
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     part = ids[4 * start:4 * (start + capacity)]

@@ -12,8 +12,9 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -47,10 +48,12 @@ SPLITS = {False: _patterns(NARROW), True: _patterns(NARROW + WIDE)}
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 SEGMENT_CHARS = 1 << 20
+#: Characters of texts whose new words go to the library together.
+GROUP_CHARS = 1 << 17
 BATCH_BYTES = 1 << 20
 REMEMBERED, LONGEST = 400_000, 48
-#: Words that are one word to both families' patterns and that only lower-casing normalises.
-SIMPLE = re.compile(rf" ?[{LETTER}]+")
+#: Words of letters, which are one word to both families' patterns and which only lower-casing normalises, and the dot or comma cut off.
+SIMPLE = re.compile(rf"([{LETTER}]+)([,.]?)")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -62,6 +65,8 @@ def _byte_letters() -> dict[int, int]:
 
 
 BYTE_LETTERS = _byte_letters()
+#: Bytes above ASCII that are written as other letters.
+HIGH = re.compile("[" + "".join(re.escape(chr(b)) for b in BYTE_LETTERS if b > 127) + "]")
 
 
 class Encoder:
@@ -69,7 +74,7 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks fill the cores
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         with open(path) as f:
@@ -84,34 +89,91 @@ class Encoder:
         added = {t["content"]: t["id"] for t in rules["added_tokens"]}
         self.special = {k: int(v).to_bytes(4, "little") for k, v in added.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
+        # words are remembered here; asking the library's own memory for words that it has never met costs more than it saves
         self.model = self.library.model
-        # two generations of each memory: a full one is put behind, what is asked for again comes back
+        self.model._resize_cache(0)
+        # the same model, to which each line is one word, and the tokens that begin a word after a blank ("bytes") or end one ("words")
+        self.lines = Tokenizer(self.model)
+        self.lines.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        self.blank = " " if self.kind == "bytes" else ""
+        self.mark = chr(BYTE_LETTERS[32]) if self.blank else ""
+        suffix = rules["model"].get("end_of_word_suffix") or "\n"  # no token has a line end
+        vocab = rules["model"]["vocab"]
+        self.edge = np.zeros(max(vocab.values()) + 1, bool)
+        self.edge[[i for t, i in vocab.items() if (t.startswith(self.mark) if self.blank else t.endswith(suffix))]] = True
+        self.tails = {"": b"", **{c: self._by_library([c])[0] for c in ",."}}
+        self.remembered: int | None = None  # words and chunks of one generation; None: REMEMBERED
+        # two generations of each memory: full ones are put behind, what is asked for again comes back
         self.known: dict[str, bytes] = {}  # ids of chunks
         self.known_before: dict[str, bytes] = {}
         self.behind: dict[str, bytes] = {}  # ids of a word with the blank before it, if there is one
         self.behind_before: dict[str, bytes] = {}
 
+    def _by_library(self, chunks: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
+
     def _encode(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of chunks by the library: simple words by its model alone, others in batches of bounded bytes."""
+        """Ids of chunks by the library, in batches of bounded bytes."""
         found: dict[str, bytes] = {}
         batch: list[str] = []
         weight = 0
         for chunk in [*chunks, None]:
             if batch and (chunk is None or weight + 4 * len(chunk) > BATCH_BYTES):
-                encoded = self.library.encode_batch_fast(batch, add_special_tokens=False)
-                found.update((c, array("I", e.ids).tobytes()) for c, e in zip(batch, encoded))
+                found.update(zip(batch, self._by_library(batch)))
                 batch, weight = [], 0
-            if chunk is None:
-                break
-            if SIMPLE.fullmatch(chunk):
-                word = chunk if self.kind == "bytes" else chunk.lower()
-                letters = word.encode().decode("latin-1").translate(BYTE_LETTERS)
-                found[chunk] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-            else:
+            if chunk is not None:
                 batch.append(chunk)
                 weight += 4 * len(chunk)
         return found
 
+    def _simple(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters (behind a blank), which the model gets together, a line each."""
+        lines = "\n".join(words)
+        if not self.blank:
+            lines = lines.lower()
+        if not lines.isascii():
+            lines = lines.encode().decode("latin-1")
+            for c in set(HIGH.findall(lines)):
+                lines = lines.replace(c, chr(BYTE_LETTERS[ord(c)]))
+        lines = self.mark + lines.replace("\n", "\n" + self.mark)
+        ids = np.array(self.lines.encode_batch_fast([lines], add_special_tokens=False)[0].ids, "<u4")
+        at = np.flatnonzero(self.edge[ids])
+        if len(at) != len(words):  # a vocabulary that lacks a letter
+            return [array("I", [t.id for t in self.model.tokenize(w)]).tobytes() for w in lines.split("\n")]
+        cuts = [*(4 * at).tolist(), 4 * len(ids)] if self.blank else [0, *(4 * at + 4).tolist()]
+        body = ids.tobytes()
+        return [body[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _learn(self, words: Iterable[str]) -> None:
+        """Remembers words: from the older memory, or from the library. Those of letters go together."""
+        behind, before = self.behind, self.behind_before
+        letters: dict[str, None] = {}
+        ended: list[tuple[str, str, str]] = []
+        others: list[str] = []
+        for word in words:
+            if (ids := before.get(word)) is not None:
+                behind[word] = ids
+            elif len(word) <= LONGEST and (m := SIMPLE.fullmatch(word)):
+                core, tail = m.groups()
+                if not tail:
+                    letters[core] = None
+                    continue
+                ended.append((word, core, tail))
+                if core not in behind:
+                    if (ids := before.get(core)) is not None:
+                        behind[core] = ids
+                    else:
+                        letters[core] = None
+            else:
+                others.append(word)
+        if letters:
+            behind.update(zip(letters, self._simple([*letters])))
+        for word, core, tail in ended:
+            behind[word] = behind[core] + self.tails[tail]
+        if others:
+            find = SPLITS[any(map(HAS_WIDE.search, others))][self.kind].findall
+            behind.update(zip(others, self._cut([w if w[:1] == "\n" else self.blank + w for w in others], find)))
+
     def _cut(self, texts: list[str], find) -> list[bytes]:
         """Ids of texts, each cut into chunks; chunks not met before go to the library together."""
         known = self.known
@@ -124,28 +186,57 @@ class Encoder:
         # a text that is one chunk is remembered by the caller, as a word
         whole = {chunks[0] for chunks in cuts if len(chunks) == 1}
         known.update((c, ids) for c, ids in ids_of.items() if c not in whole and len(c) <= LONGEST)
-        if len(known) > REMEMBERED:
-            self.known_before, self.known = known, {}
         return done
 
     def _met(self, chunk: str) -> bytes | None:
         """Ids of a chunk from the older memory, or from the words behind a blank."""
         if chunk in self.known_before:
             return self.known_before[chunk]
-        if self.kind == "bytes" and chunk[:1] != "\n":
+        if self.blank and chunk[:1] != "\n":
             if chunk[:1] != " " or chunk[1:2] == "\n":  # a word that begins with a line end has no blank before it
                 return None
             chunk = chunk[1:]
         return self.behind.get(chunk) or self.behind_before.get(chunk)
 
+    def _words(self, text: str) -> tuple[bytes, list[str]] | None:
+        """A text's words as the memory has them, and the ids of what no blank stands before; None for a text with uncommon white space."""
+        if not self.blank:
+            return None if any(c in text for c in SEPARATORS) else (b"", text.split())
+        if SPLITS[not text.isascii() and HAS_WIDE.search(text) is not None]["odd"].search(text):
+            return None
+        words = text.replace("\n", " \n").split(" ")
+        first = words.pop(0)
+        if not first:
+            return b"", words
+        ids = self.known.get(first)
+        if ids is None:
+            ids = self._cut([first], SPLITS[HAS_WIDE.search(first) is not None][self.kind].findall)[0]
+            if len(first) <= LONGEST:
+                self.known[first] = ids
+        return ids, words
+
+    def _looked_up(self, lists: list[list[str]]) -> list[bytes]:
+        """Ids of lists of words: one look-up a word, and all that are new go to the library together."""
+        if len(self.known) + len(self.behind) > (self.remembered or REMEMBERED):
+            self.known_before, self.known = self.known, {}
+            self.behind_before, self.behind = self.behind, {}
+        behind = self.behind
+        found = [list(map(behind.get, words)) for words in lists]
+        holes = [[i for i, known in enumerate(ids) if known is None] for ids in found]
+        new = {words[i] for words, at in zip(lists, holes) for i in at}
+        if new:
+            self._learn(new)
+            for words, ids, at in zip(lists, found, holes):
+                for i in at:
+                    ids[i] = behind[words[i]]
+            for word in new:
+                if len(word) > LONGEST:
+                    del behind[word]
+        return [b"".join(ids) for ids in found]
+
     def _plain(self, text: str) -> Iterator[bytes]:
         """The ids of a text without special strings, a segment at a time."""
         split = SPLITS[not text.isascii() and HAS_WIDE.search(text) is not None]
-        find, blank = split[self.kind].findall, " " if self.kind == "bytes" else ""
-        if blank:
-            fast = not split["odd"].search(text)
-        else:
-            fast = not any(c in text for c in SEPARATORS)
         start = 0
         while start < len(text):
             end = len(text)
@@ -153,27 +244,11 @@ class Encoder:
                 end = m.start()
             segment = text[start:end] if end - start < len(text) else text
             start = end
-            if not fast:
-                yield self._cut([segment], find)[0]
-                continue
-            words = segment.replace("\n", " \n").split(" ") if blank else segment.split()
-            if blank and (first := words.pop(0)):
-                yield self.known[first] if first in self.known else self._cut([first], find)[0]
-            behind, before = self.behind, self.behind_before
-            try:
-                yield b"".join(map(behind.__getitem__, words))
-            except KeyError:
-                new = {w for w in words if w not in behind}
-                again = {w: before[w] for w in new if w in before}
-                met = list(new - again.keys())
-                behind.update(again)
-                behind.update(zip(met, self._cut([w if w[:1] == "\n" else blank + w for w in met], find)))
-                yield b"".join(map(behind.__getitem__, words))
-                for w in met:
-                    if len(w) > LONGEST:
-                        del behind[w]
-                if len(behind) > REMEMBERED:
-                    self.behind_before, self.behind = behind, {}
+            if (cut := self._words(segment)) is None:
+                yield self._cut([segment], split[self.kind].findall)[0]
+                self._looked_up([])  # the memory's bound
+            else:
+                yield cut[0] + self._looked_up([cut[1]])[0]
 
     def parts(self, text: str) -> Iterator[bytes]:
         """The ids of a text in pieces of bounded size."""
@@ -189,13 +264,33 @@ class Encoder:
     def ids(self, text: str) -> bytes:
         return b"".join(self.parts(text))
 
+    def each(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """The ids of every text, null ones counting as empty. Texts of about GROUP_CHARS in all go together."""
+        def done() -> Iterator[bytes]:
+            cuts = [None if len(t) > GROUP_CHARS or self.cut and self.cut.search(t) else self._words(t) for t in group]
+            found = iter(self._looked_up([cut[1] for cut in cuts if cut]))
+            for t, cut in zip(group, cuts):
+                yield cut[0] + next(found) if cut else self.ids(t)
+
+        group: list[str] = []
+        weight = 0
+        for text in texts:
+            group.append(text or "")
+            weight += len(group[-1])
+            if weight > GROUP_CHARS:
+                yield from done()
+                group, weight = [], 0
+        yield from done()
+
     def count(self, text: str) -> int:
         return sum(map(len, self.parts(text))) // 4
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of a file, one at a time in each Python worker."""
-    return kept(Encoder, path)
+def encoder(path: str, remembered: int | None = None) -> Encoder:
+    """The encoder of a file, one at a time in each Python worker, and how many words it remembers."""
+    use = kept(Encoder, path)
+    use.remembered = remembered
+    return use
 
 
 def vocabulary(name: str) -> str:

@@ -110,6 +110,46 @@ def test_memory_is_bounded(monkeypatch):
     assert len(use.behind) <= 200
 
 
+def letters(i):
+    return "".join(chr(97 + int(d)) for d in str(i))
+
+
+@pytest.mark.parametrize("name", [BYTE, WORDS])
+def test_the_memories_have_one_bound(name, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 1000)
+    use, lib = tokens.Encoder(tokens.vocabulary(name)), library(name)
+    most = 0
+    for i in range(0, 8000, 100):
+        text = " ".join(f"{letters(j)}. x{letters(j)}-{j},  y{letters(j)}," for j in range(i, i + 100))
+        if i % 200:
+            text = text.replace("  ", " ")
+        assert use.ids(text) == np.array(lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        most = max(most, sum(map(len, (use.known, use.known_before, use.behind, use.behind_before))))
+    assert most <= 2 * (1000 + 600)  # two generations of the bound, each over it by the words of one text
+
+
+@pytest.mark.parametrize("name", [BYTE, WORDS])
+def test_texts_together_have_the_ids_of_each(name, monkeypatch):
+    monkeypatch.setattr(tokens, "GROUP_CHARS", 4000)
+    monkeypatch.setattr(tokens, "REMEMBERED", 500)
+    pick = np.random.default_rng(8)
+    parts = ["Ärger", "niño", "über.", "été,", "ÀÉÎÕÜ", "ÿ", "ß", "don't", "x-ray.", "3.14", "\n", "\n\n", "  ", "　", "ﬁ", "<|endoftext|>", "q" * 60, "q" * 60 + "."]
+    texts = [" ".join(pick.choice([*parts, *(letters(j) for j in range(900))], pick.integers(0, 60))) for _ in range(400)] + [None, "", LONG, " ", "\n"]
+    use, lib = tokens.Encoder(tokens.vocabulary(name)), library(name)
+    for _ in range(2):
+        found = list(use.each(texts))
+        assert len(found) == len(texts)
+        for text, ids in zip(texts, found):
+            assert ids == np.array(lib.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+
+
+def test_new_words_of_a_group_go_to_the_library_together(monkeypatch):
+    use, asked = tokens.Encoder(tokens.vocabulary(WORDS)), []
+    monkeypatch.setattr(use, "_simple", lambda words, simple=use._simple: asked.append(len(words)) or simple(words))
+    assert len(list(use.each([f"new {letters(i)}, {letters(i)}z" for i in range(300)]))) == 300
+    assert asked == [601]
+
+
 def test_token_counts(docs, empty):
     lib = library(BYTE)
     found = tokens.token_counts(docs.withColumn("n_tokens", F.lit("x")), tokens.vocabulary(BYTE)).select("text", "n_tokens").collect()
