@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fluxwatch.llm.common import table
+from fluxwatch.llm.common import batches_of, let_go, table
 from fluxwatch.llm.packing import END_ID
 from fluxwatch.llm.tokens import encoder, vocabulary
 from fluxwatch.session import run_dir, written
@@ -34,8 +34,10 @@ MAGIC, VERSION, HEAD = b"FXID", 1, "<4sBBI16s"
 #: Documents the dictionary is trained on, bytes taken of each, and the dictionary's size.
 SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 8192, 65536
 BLOCK_BYTES, LEVEL = 1 << 20, 3
-#: Documents compressed before their frames go on, and bytes of frames of one range of ids, about.
-ROWS, RANGE_BYTES = 500, 16 << 20
+#: Documents compressed before their frames go on, bytes of texts or frames handed to Python at a time, and bytes of frames of one range of ids, about.
+ROWS, BATCH_BYTES, RANGE_BYTES = 500, 4 << 20, 16 << 20
+#: Words a worker remembers (twice, see tokens): about 250 bytes each, beside an executor that sorts frames.
+WORDS = 200_000
 
 
 def packed_ids(ids: bytes, width: int) -> bytes:
@@ -115,24 +117,25 @@ def write_ids(docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", t
 
     @F.pandas_udf("binary")
     def sampled(texts: pd.Series) -> pd.Series:
-        use = encoder(path)
+        use = encoder(path, WORDS)
         return pd.Series([sample_of(packed_ids(use.ids(t or "") + end, width), width) for t in texts])
 
     chosen = named.select("doc_id").distinct().orderBy(F.xxhash64("doc_id")).limit(SAMPLE)
     rows = named.join(F.broadcast(chosen), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id")).limit(SAMPLE)
-    dictionary = train([bytes(r[0]) for r in rows.select(sampled("text")).collect()])
+    with batches_of(spark, ROWS, BATCH_BYTES):
+        dictionary = train([bytes(r[0]) for r in rows.select(sampled("text")).collect()])
     spark.createDataFrame([(bytearray(dictionary),)], "dictionary binary").coalesce(1).write.parquet(f"{folder}/dictionary")
     digest = dictionary_hash(dictionary)
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use, tool = encoder(path), compressor(dictionary)
+        use, tool = encoder(path, WORDS), compressor(dictionary)
         for batch in batches:
             # a few rows at a time: the text of one row is held, not of the batch
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
                 sizes, ties, made = [], [], []
-                for body in part.column(1):
-                    ids = (use.ids(body.as_py()) if body.is_valid else b"") + end
+                for body in use.each(body.as_py() for body in part.column(1)):
+                    ids = body + end
                     sizes.append(len(ids) // 4)
                     ties.append(zlib.crc32(ids))
                     made.append(tool.compress(packed_ids(ids, width)))
@@ -140,7 +143,8 @@ def write_ids(docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "tie", "frame"])
 
     # the ranges are sampled and then dealt: written first, or every text would be encoded twice
-    encoded = written(named.mapInArrow(compress, "doc_id long, n long, tie long, frame binary"), "frames")
+    with batches_of(spark, ROWS, BATCH_BYTES):
+        encoded = written(named.mapInArrow(compress, "doc_id long, n long, tie long, frame binary"), "frames")
     size = encoded.agg(F.sum(F.length("frame") + 64)).first()[0] or 0  # a row has its keys too
     parts = max(1, -(-size // RANGE_BYTES), spark.sparkContext.defaultParallelism)
     ties = encoded.withColumn("_again", F.monotonically_increasing_id())
@@ -148,6 +152,7 @@ def write_ids(docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", t
     ordered = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "n", "frame")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()  # the words of the tasks before
         frames: list[bytes] = []
         ids: list[int | None] = []
         total = size = number = 0
@@ -168,7 +173,8 @@ def write_ids(docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", t
         if ids:
             yield flush(part)
 
-    ordered.mapInArrow(blocks, BLOCKS_DDL).write.parquet(f"{folder}/blocks")
+    with batches_of(spark, ROWS, BATCH_BYTES):
+        ordered.mapInArrow(blocks, BLOCKS_DDL).write.parquet(f"{folder}/blocks")
 
 
 BLOCKS = pa.schema([
@@ -196,9 +202,11 @@ def read_ids(spark: SparkSession, folder: str, keep_ids: bool = False) -> DataFr
     inside = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     counts = stored.select("part", "number", "n_ids").withColumn("_block", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)))
     starts = counts.join(parts, "part").select("part", "number", (F.col("_part") + F.col("_block")).alias("start"))
-    placed = stored.join(starts, ["part", "number"]).select("start", "doc_ids", "data")
+    # a row for each block, not its data
+    placed = stored.join(F.broadcast(starts), ["part", "number"]).select("start", "doc_ids", "data")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()  # the words of the tasks before
         digest, tool = dictionary_hash(dictionary), decompressor(dictionary)
         for batch in batches:
             for start, keys, data in zip(*(batch.column(i) for i in range(3))):

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -48,6 +49,20 @@ def let_go() -> None:
     _KEPT.clear()
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
+    """Jobs inside hand rows to Python in batches of at most ``rows`` rows and about ``size`` bytes; the session's settings come back."""
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {name: spark.conf.get(name) for name in limits}
+    try:
+        for name, limit in limits.items():
+            spark.conf.set(name, str(limit))
+        yield
+    finally:
+        for name, limit in before.items():
+            spark.conf.set(name, limit)
+
+
 def free(name: str, taken: list[str]) -> str:
     """``name``, with as many underscores before it as it takes to differ from all the names ``taken``."""
     used = {t.lower() for t in taken}

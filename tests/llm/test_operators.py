@@ -110,6 +110,21 @@ def test_memory_is_bounded(monkeypatch):
     assert len(use.behind) <= 200
 
 
+def test_batches_are_bounded_and_settings_come_back(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    texts = spark.range(600, numPartitions=1).select(F.repeat(F.lit("abc def "), F.lit(1000)).alias("text"))
+    for rows, size, most in ((500, 4 << 20, 500), (500, 1 << 20, 140)):
+        with common.batches_of(spark, rows, size):
+            assert texts.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0] <= most
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def letters(i):
     return "".join(chr(97 + int(d)) for d in str(i))
 
