@@ -34,10 +34,12 @@ MAGIC, VERSION, HEAD = b"FXID", 1, "<4sBBI16s"
 #: Documents the dictionary is trained on, bytes taken of each, and the dictionary's size.
 SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 8192, 65536
 BLOCK_BYTES, LEVEL = 1 << 20, 3
-#: Documents compressed before their frames go on, bytes of texts or frames handed to Python at a time, and bytes of frames of one range of ids, about.
-ROWS, BATCH_BYTES, RANGE_BYTES = 500, 4 << 20, 16 << 20
+#: Documents scanned and compressed before their frames go on, bytes of texts or frames handed to Python at a time, and bytes of frames of one range of ids, about.
+ROWS, BATCH_BYTES, RANGE_BYTES = 500, 4 << 20, 8 << 20
 #: Words a worker remembers (twice, see tokens): about 250 bytes each, beside an executor that sorts frames.
-WORDS = 200_000
+WORDS = 300_000
+#: Frames are compressed already: a codec would only hold each page of them twice more, in buffers outside the heap that stay.
+PLAIN = {"compression": "none"}
 
 
 def packed_ids(ids: bytes, width: int) -> bytes:
@@ -112,12 +114,12 @@ def write_ids(docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", t
     """
     spark = docs.sparkSession
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    width = 2 if encoder(path).library.get_vocab_size() <= 1 << 16 else 4
+    width = 2 if encoder(path, WORDS, lasting=True).library.get_vocab_size() <= 1 << 16 else 4
     end = END_ID.to_bytes(4, "little")
 
     @F.pandas_udf("binary")
     def sampled(texts: pd.Series) -> pd.Series:
-        use = encoder(path, WORDS)
+        use = encoder(path, WORDS, lasting=True)
         return pd.Series([sample_of(packed_ids(use.ids(t or "") + end, width), width) for t in texts])
 
     chosen = named.select("doc_id").distinct().orderBy(F.xxhash64("doc_id")).limit(SAMPLE)
@@ -128,7 +130,7 @@ def write_ids(docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", t
     digest = dictionary_hash(dictionary)
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use, tool = encoder(path, WORDS), compressor(dictionary)
+        use, tool = encoder(path, WORDS, lasting=True), compressor(dictionary)
         for batch in batches:
             # a few rows at a time: the text of one row is held, not of the batch
             for start in range(0, batch.num_rows, ROWS):
@@ -139,15 +141,16 @@ def write_ids(docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", t
                     sizes.append(len(ids) // 4)
                     ties.append(zlib.crc32(ids))
                     made.append(tool.compress(packed_ids(ids, width)))
-                columns = [part.column(0), pa.array(sizes, pa.int64()), pa.array(ties, pa.int64()), pa.array(made, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "tie", "frame"])
+                lengths = pa.array([len(frame) for frame in made], pa.int64())
+                columns = [part.column(0), pa.array(sizes, pa.int64()), pa.array(ties, pa.int64()), lengths, pa.array(made, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "tie", "size", "frame"])
 
     # the ranges are sampled and then dealt: written first, or every text would be encoded twice
     with batches_of(spark, ROWS, BATCH_BYTES):
-        encoded = written(named.mapInArrow(compress, "doc_id long, n long, tie long, frame binary"), "frames")
-    size = encoded.agg(F.sum(F.length("frame") + 64)).first()[0] or 0  # a row has its keys too
+        encoded = written(named.mapInArrow(compress, "doc_id long, n long, tie long, size long, frame binary"), "frames", **PLAIN)
+    size = encoded.agg(F.sum(F.col("size") + 64)).first()[0] or 0  # a row has its keys too
     parts = max(1, -(-size // RANGE_BYTES), spark.sparkContext.defaultParallelism)
-    ties = encoded.withColumn("_again", F.monotonically_increasing_id())
+    ties = encoded.drop("size").withColumn("_again", F.monotonically_increasing_id())
     ordered = ties.repartitionByRange(parts, "doc_id", "tie", "_again").sortWithinPartitions("doc_id", "tie", "_again")
     ordered = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "n", "frame")
 
@@ -174,7 +177,7 @@ def write_ids(docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id", t
             yield flush(part)
 
     with batches_of(spark, ROWS, BATCH_BYTES):
-        ordered.mapInArrow(blocks, BLOCKS_DDL).write.parquet(f"{folder}/blocks")
+        ordered.mapInArrow(blocks, BLOCKS_DDL).write.options(**PLAIN).parquet(f"{folder}/blocks")
 
 
 BLOCKS = pa.schema([

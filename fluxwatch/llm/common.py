@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import types
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -34,25 +36,33 @@ def drop_folder(df: DataFrame) -> None:
 _KEPT: dict = {}
 
 
-def kept(make: Callable, path: str):
-    """``make(path)``, kept for later calls in this worker. Whatever was kept before is let go first: a reused
-    worker would else hold the words of every vocabulary it has met."""
-    key = (make, path)
-    if key not in _KEPT:
+def _lasting() -> dict:
+    """What lasts as long as this process. Task functions travel by value, and with them the globals they use: what
+    those hold is made anew in each task, and what the driver's hold would be sent with every task."""
+    return sys.modules.setdefault("_fluxwatch_kept", types.ModuleType("_fluxwatch_kept")).__dict__.setdefault("kept", {})
+
+
+def kept(make: Callable, path: str, lasting: bool = False):
+    """``make(path)``, kept for later calls in this task, or if ``lasting`` in later tasks of this worker too. Whatever was
+    kept before is let go first: a reused worker would else hold the words of every vocabulary it has met."""
+    key, held = (make.__qualname__, path), _lasting() if lasting else _KEPT
+    if key not in held:
         let_go()
-        _KEPT[key] = make(path)
-    return _KEPT[key]
+        held[key] = make(path)
+    return held[key]
 
 
 def let_go() -> None:
     """Frees what :func:`kept` holds, for work that needs no vocabulary."""
     _KEPT.clear()
+    _lasting().clear()
 
 
 @contextmanager
 def batches_of(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
-    """Jobs inside hand rows to Python in batches of at most ``rows`` rows and about ``size`` bytes; the session's settings come back."""
-    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    """Jobs inside hand rows to Python in batches of at most ``rows`` rows and about ``size`` bytes, and scan no more rows at a time;
+    the session's settings come back."""
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size, "spark.sql.parquet.columnarReaderBatchSize": rows}
     before = {name: spark.conf.get(name) for name in limits}
     try:
         for name, limit in limits.items():

@@ -17,6 +17,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +28,9 @@ from fluxwatch.llm.common import kept, table, utf8_bytes
 #: and the part of it below 256, whose classes match much faster.
 NARROW = "\t-\r \x85\xa0"
 WIDE = "\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-HAS_WIDE = re.compile(f"[{WIDE}]")
+WIDE_SPACES = [c for c in map(chr, range(0x1680, 0x3001)) if re.match(f"[{WIDE}]", c)]
+#: White space other than blanks and line ends, and two in a row of those: asked for by ``in``, much faster than by a class.
+RARE_SPACES, PAIRS = "\t\v\f\r\x85\xa0", ("  ", " \n", "\n ", "\n\n")
 LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 
 
@@ -43,17 +47,29 @@ def _patterns(space: str) -> dict[str, re.Pattern]:
     }
 
 
+def has_wide(text: str) -> bool:
+    return not text.isascii() and any(c in text for c in WIDE_SPACES)
+
+
+def has_odd(text: str) -> bool:
+    """Whether two of white space stand in a row."""
+    if has_wide(text) or any(c in text for c in RARE_SPACES):
+        return SPLITS[has_wide(text)]["odd"].search(text) is not None
+    return any(p in text for p in PAIRS)
+
+
 SPLITS = {False: _patterns(NARROW), True: _patterns(NARROW + WIDE)}
 #: Characters that str.split() takes for white space and the vocabularies do not.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 SEGMENT_CHARS = 1 << 20
-#: Characters of texts whose new words go to the library together.
-GROUP_CHARS = 1 << 17
+#: Characters of texts whose new words go to the library together, and times as many where Arrow finds the words that differ.
+GROUP_CHARS, ARROW_GROUPS = 1 << 17, 16
 BATCH_BYTES = 1 << 20
 REMEMBERED, LONGEST = 400_000, 48
-#: Words of letters, which are one word to both families' patterns and which only lower-casing normalises, and the dot or comma cut off.
-SIMPLE = re.compile(rf"([{LETTER}]+)([,.]?)")
+#: Words of letters, which are one word to both families' patterns and which only lower-casing normalises; the signs behind them are
+#: another one (no apostrophe: some letters go with it). So many different ends are remembered.
+LETTERS, SIGNS, ENDS = re.compile(f"[{LETTER}]+"), r"""!"#$%&()*+,-./:;<=>?@[\]^_`{|}~""", 10_000
 
 
 def _byte_letters() -> dict[int, int]:
@@ -101,7 +117,7 @@ class Encoder:
         vocab = rules["model"]["vocab"]
         self.edge = np.zeros(max(vocab.values()) + 1, bool)
         self.edge[[i for t, i in vocab.items() if (t.startswith(self.mark) if self.blank else t.endswith(suffix))]] = True
-        self.tails = {"": b"", **{c: self._by_library([c])[0] for c in ",."}}
+        self.tails = {"": b""}  # ids of the signs words end with
         self.remembered: int | None = None  # words and chunks of one generation; None: REMEMBERED
         # two generations of each memory: full ones are put behind, what is asked for again comes back
         self.known: dict[str, bytes] = {}  # ids of chunks
@@ -144,36 +160,45 @@ class Encoder:
         body = ids.tobytes()
         return [body[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def _learn(self, words: Iterable[str]) -> None:
+    def _learn(self, words: set[str]) -> None:
         """Remembers words: from the older memory, or from the library. Those of letters go together."""
         behind, before = self.behind, self.behind_before
+        again = {word: ids for word, ids in zip(words, map(before.get, words)) if ids is not None}
+        behind.update(again)
         letters: dict[str, None] = {}
         ended: list[tuple[str, str, str]] = []
         others: list[str] = []
-        for word in words:
-            if (ids := before.get(word)) is not None:
-                behind[word] = ids
-            elif len(word) <= LONGEST and (m := SIMPLE.fullmatch(word)):
-                core, tail = m.groups()
-                if not tail:
-                    letters[core] = None
-                    continue
+        for word in words - again.keys() if again else words:
+            core = word.rstrip(SIGNS)
+            tail = word[len(core):]
+            # asked for by itself where it can be: a pattern takes several times as long
+            if len(word) > LONGEST or not (core.isalpha() if core.isascii() else LETTERS.fullmatch(core)) or not self._end(tail):
+                others.append(word)
+            elif not tail:
+                letters[core] = None
+            else:
                 ended.append((word, core, tail))
                 if core not in behind:
                     if (ids := before.get(core)) is not None:
                         behind[core] = ids
                     else:
                         letters[core] = None
-            else:
-                others.append(word)
         if letters:
             behind.update(zip(letters, self._simple([*letters])))
         for word, core, tail in ended:
             behind[word] = behind[core] + self.tails[tail]
         if others:
-            find = SPLITS[any(map(HAS_WIDE.search, others))][self.kind].findall
+            find = SPLITS[any(map(has_wide, others))][self.kind].findall
             behind.update(zip(others, self._cut([w if w[:1] == "\n" else self.blank + w for w in others], find)))
 
+    def _end(self, tail: str) -> bool:
+        """Whether the ids of these signs are remembered, now at the latest."""
+        if tail not in self.tails:
+            if len(self.tails) >= ENDS:
+                return False
+            self.tails[tail] = self._by_library([tail])[0]
+        return True
+
     def _cut(self, texts: list[str], find) -> list[bytes]:
         """Ids of texts, each cut into chunks; chunks not met before go to the library together."""
         known = self.known
@@ -198,25 +223,26 @@ class Encoder:
             chunk = chunk[1:]
         return self.behind.get(chunk) or self.behind_before.get(chunk)
 
-    def _words(self, text: str) -> tuple[bytes, list[str]] | None:
-        """A text's words as the memory has them, and the ids of what no blank stands before; None for a text with uncommon white space."""
+    def _words(self, text: str) -> tuple[str, list[str]] | None:
+        """What no blank stands before, and a text's words as the memory has them; None for a text with uncommon white space."""
         if not self.blank:
-            return None if any(c in text for c in SEPARATORS) else (b"", text.split())
-        if SPLITS[not text.isascii() and HAS_WIDE.search(text) is not None]["odd"].search(text):
+            return None if any(c in text for c in SEPARATORS) else ("", text.split())
+        if has_odd(text):
             return None
         words = text.replace("\n", " \n").split(" ")
-        first = words.pop(0)
-        if not first:
-            return b"", words
-        ids = self.known.get(first)
-        if ids is None:
-            ids = self._cut([first], SPLITS[HAS_WIDE.search(first) is not None][self.kind].findall)[0]
-            if len(first) <= LONGEST:
-                self.known[first] = ids
-        return ids, words
+        return words.pop(0), words
 
-    def _looked_up(self, lists: list[list[str]]) -> list[bytes]:
-        """Ids of lists of words: one look-up a word, and all that are new go to the library together."""
+    def _first(self, words: list[str]) -> list[bytes]:
+        """Ids of words that no blank stands before; all that are new go to the library together."""
+        new = [*{w for w in words if w and w not in self.known}]
+        found = {"": b""}
+        if new:
+            found.update(zip(new, self._cut(new, SPLITS[any(map(has_wide, new))][self.kind].findall)))
+            self.known.update((w, ids) for w, ids in found.items() if w and len(w) <= LONGEST)
+        return [found[w] if w in found else self.known[w] for w in words]
+
+    def _found(self, lists: list[list[str]]) -> list[list[bytes]]:
+        """Ids of every word of lists: one look-up a word, and all that are new go to the library together."""
         if len(self.known) + len(self.behind) > (self.remembered or REMEMBERED):
             self.known_before, self.known = self.known, {}
             self.behind_before, self.behind = self.behind, {}
@@ -229,14 +255,34 @@ class Encoder:
             for words, ids, at in zip(lists, found, holes):
                 for i in at:
                     ids[i] = behind[words[i]]
-            for word in new:
-                if len(word) > LONGEST:
-                    del behind[word]
-        return [b"".join(ids) for ids in found]
+            for word in [w for w in new if len(w) > LONGEST]:
+                del behind[word]
+        return found
+
+    def _looked_up(self, lists: list[list[str]]) -> list[bytes]:
+        """Ids of lists of words."""
+        return [b"".join(ids) for ids in self._found(lists)]
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without uncommon white space. Arrow splits them, so that a word is looked up once for all."""
+        if not self.blank:
+            return self._looked_up([t.split() for t in texts])
+        cuts = [t.replace("\n", " \n").partition(" ") for t in texts]
+        first = self._first([cut[0] for cut in cuts])
+        lists = pc.split_pattern(pa.array([cut[2] if cut[1] else None for cut in cuts], pa.string()), " ")
+        words = lists.values.dictionary_encode()
+        if not len(words):
+            self._found([])  # the memory's bound
+            return first
+        body = pa.array(self._found([words.dictionary.to_numpy(zero_copy_only=False).tolist()])[0], pa.binary()).take(words.indices)
+        _, ends, ids = body.buffers()
+        at = np.frombuffer(ends, np.int32)[lists.offsets.to_numpy()].tolist()
+        view = memoryview(ids)
+        return [head + view[a:b] for head, a, b in zip(first, at, at[1:])]
 
     def _plain(self, text: str) -> Iterator[bytes]:
         """The ids of a text without special strings, a segment at a time."""
-        split = SPLITS[not text.isascii() and HAS_WIDE.search(text) is not None]
+        split = SPLITS[has_wide(text)]
         start = 0
         while start < len(text):
             end = len(text)
@@ -248,7 +294,7 @@ class Encoder:
                 yield self._cut([segment], split[self.kind].findall)[0]
                 self._looked_up([])  # the memory's bound
             else:
-                yield cut[0] + self._looked_up([cut[1]])[0]
+                yield self._first([cut[0]])[0] + self._looked_up([cut[1]])[0]
 
     def parts(self, text: str) -> Iterator[bytes]:
         """The ids of a text in pieces of bounded size."""
@@ -265,19 +311,20 @@ class Encoder:
         return b"".join(self.parts(text))
 
     def each(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        """The ids of every text, null ones counting as empty. Texts of about GROUP_CHARS in all go together."""
+        """The ids of every text, null ones counting as empty. Texts of about GROUP_CHARS in all, or ARROW_GROUPS times that, go together."""
         def done() -> Iterator[bytes]:
-            cuts = [None if len(t) > GROUP_CHARS or self.cut and self.cut.search(t) else self._words(t) for t in group]
-            found = iter(self._looked_up([cut[1] for cut in cuts if cut]))
-            for t, cut in zip(group, cuts):
-                yield cut[0] + next(found) if cut else self.ids(t)
+            fit = [not (len(t) > GROUP_CHARS or self.cut and self.cut.search(t) or (has_odd(t) if self.blank else any(c in t for c in SEPARATORS))) for t in group]
+            found = iter(self._together([t for t, fits in zip(group, fit) if fits]))
+            for t, fits in zip(group, fit):
+                yield next(found) if fits else self.ids(t)
 
+        most = GROUP_CHARS * (ARROW_GROUPS if self.blank else 1)
         group: list[str] = []
         weight = 0
         for text in texts:
             group.append(text or "")
             weight += len(group[-1])
-            if weight > GROUP_CHARS:
+            if weight > most:
                 yield from done()
                 group, weight = [], 0
         yield from done()
@@ -286,9 +333,9 @@ class Encoder:
         return sum(map(len, self.parts(text))) // 4
 
 
-def encoder(path: str, remembered: int | None = None) -> Encoder:
-    """The encoder of a file, one at a time in each Python worker, and how many words it remembers."""
-    use = kept(Encoder, path)
+def encoder(path: str, remembered: int | None = None, lasting: bool = False) -> Encoder:
+    """The encoder of a file, one at a time in each Python worker, how many words it remembers, and whether for later tasks too."""
+    use = kept(Encoder, path, lasting)
     use.remembered = remembered
     return use
 

@@ -54,10 +54,10 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows written to the shared folder and read back: cuts the lineage and
     survives lost executors, and computes the rows once (a checkpoint does twice)."""
     spark = df.sparkSession
     path = run_dir(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

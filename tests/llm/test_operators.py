@@ -165,6 +165,53 @@ def test_new_words_of_a_group_go_to_the_library_together(monkeypatch):
     assert asked == [601]
 
 
+def test_signs_and_first_words_go_to_the_library_together(monkeypatch):
+    use, lib, asked = tokens.Encoder(tokens.vocabulary(BYTE)), library(BYTE), []
+    monkeypatch.setattr(use, "_by_library", lambda chunks, whole=use._by_library: asked.append(len(chunks)) or whole(chunks))
+    texts = [f"{letters(i)}q {letters(i)}*** É{letters(i)}.&&, {letters(i)}?" for i in range(300)]
+    found = list(use.each(texts))
+    assert found == [np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert sorted(asked) == [1, 1, 1, 300]  # three ends, and the first words
+
+
+def test_white_space_in_a_row():
+    pick = np.random.default_rng(3)
+    parts = [*" \n\t\r\x0b\x0c\x1c\x85\xa0\u1680\u2007\u200b\u2028\u3000", "a", "é", "字", " a", "b ", "b\n"]
+    for text in ("".join(pick.choice(parts, pick.integers(0, 7))) for _ in range(5000)):
+        white = [c in " \n\t\r\x0b\x0c\x85\xa0\u1680\u2007\u2028\u3000" for c in text]
+        assert tokens.has_wide(text) == any(c in "\u1680\u2007\u2028\u3000" for c in text)
+        assert tokens.has_odd(text) == any(a and b for a, b in zip(white, white[1:])), repr(text)
+
+
+def test_a_worker_keeps_its_words_for_later_tasks(spark):
+    import os
+
+    import pyarrow as pa
+    from pyspark import cloudpickle
+
+    path = tokens.vocabulary(BYTE)
+    tokens.encoder(path, 1000, lasting=True).ids("the driver's words")
+
+    def task(batches):
+        use = tokens.encoder(path, 1000, lasting=True)
+        met = len(use.behind)
+        for batch in batches:
+            use.ids("some words of a task")
+            yield pa.RecordBatch.from_arrays([pa.array([os.getpid()]), pa.array([met])], ["pid", "met"])
+
+    assert len(cloudpickle.dumps(task)) < 200_000  # without the driver's vocabulary
+    rows = spark.range(24, numPartitions=24).mapInArrow(task, "pid long, met long").collect()
+    assert sum(r.met == 0 for r in rows) == len({r.pid for r in rows}) < 24
+
+    def gone(batches):
+        common.let_go()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(common._lasting())])], ["n"])
+
+    assert {r.n for r in spark.range(8, numPartitions=8).mapInArrow(gone, "n long").collect()} == {0}
+    common.let_go()
+
+
 def test_token_counts(docs, empty):
     lib = library(BYTE)
     found = tokens.token_counts(docs.withColumn("n_tokens", F.lit("x")), tokens.vocabulary(BYTE)).select("text", "n_tokens").collect()
