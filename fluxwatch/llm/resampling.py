@@ -2,17 +2,16 @@
 target's hashed word runs are than the corpus's own.
 
 A feature is a run of one to three words; its bucket is the CRC-32 of its bytes, modulo the buckets. CRCs are
-computed for many features at once: the distinct features of a batch are grouped by length into
+computed for many features at once: the words of a batch are grouped by length into
 matrices of bytes, one row per byte position, and each step updates the CRCs of a whole matrix by one byte.
-The results are scattered back to the places of their features.
+The CRC of a run goes on from that of the run without its last word. The results are scattered back to the
+places of their features.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -28,7 +27,7 @@ BUCKETS, LONGEST_RUN = 10_000, 3
 LEAST_WORDS, PERCENT, SEED = 20, 5, "42"
 #: Words handled at once; a longer text is handled alone.
 CHUNK_WORDS = 1 << 18
-#: Features of more bytes are as good as never there twice and would be a matrix each: zlib takes them.
+#: Words of more bytes are rare and would be a matrix each: zlib takes them.
 WIDEST = 256
 
 #: A-Z to a-z, digits and bytes beyond ASCII as they are, anything else to a blank.
@@ -45,62 +44,63 @@ def _crc_table() -> np.ndarray:
 CRC = _crc_table()
 
 
-def crcs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """CRC-32 of the slices ``data[start : start + length]``, by matrices of equal length."""
-    result = np.zeros(len(starts), np.uint32)
+def matrices(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    """The slices ``data[start : start + length]`` by length: which they are, and their bytes, a row per position (none above WIDEST)."""
     order = np.argsort(lengths, kind="stable")
     cuts = np.flatnonzero(np.diff(lengths[order])) + 1
     for rows in np.split(order, cuts) if len(order) else ():
-        length = int(lengths[rows[0]])
-        if length > WIDEST:
-            result[rows] = [zlib.crc32(data[s:s + length]) for s in starts[rows].tolist()]
+        length, at = int(lengths[rows[0]]), starts[rows]
+        yield rows, None if length > WIDEST else np.array([data[at + k] for k in range(length)], np.uint8)
+
+
+def stepped(crc: np.ndarray, byte: np.ndarray | np.uint8) -> np.ndarray:
+    """Inverted CRCs, one byte further."""
+    return CRC[(crc ^ byte) & 0xFF] ^ (crc >> np.uint32(8))
+
+
+def crcs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, before: np.ndarray | None = None, parts: list | None = None) -> np.ndarray:
+    """CRC-32 of the slices ``data[start : start + length]``, by matrices of equal length (``parts``, if they are made already),
+    each going on from the CRC ``before`` it."""
+    result = np.zeros(len(starts), np.uint32) if before is None else before.copy()
+    for rows, matrix in matrices(data, starts, lengths) if parts is None else parts:
+        if matrix is None:
+            result[rows] = [zlib.crc32(data[s:s + n], c) for s, n, c in zip(starts[rows].tolist(), lengths[rows].tolist(), result[rows].tolist())]
             continue
-        matrix = data[starts[rows][None, :] + np.arange(length)[:, None]]
-        crc = np.full(len(rows), 0xFFFFFFFF, np.uint32)
+        crc = ~result[rows]
         for column in matrix:
-            crc = CRC[(crc ^ column) & 0xFF] ^ (crc >> np.uint32(8))
+            crc = stepped(crc, column)
         result[rows] = ~crc
     return result
 
 
-def features(texts: list[list[bytes]], longest: int = LONGEST_RUN, buckets: int = BUCKETS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For run lengths 1, 2, ..: the bucket of each run of that many words, and the text it is in."""
-    sizes = np.array([len(t) for t in texts], np.int64)
-    words = [w for t in texts for w in t]
-    numbers = defaultdict(count().__next__)
-    ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    data = np.frombuffer(b" ".join(words), np.uint8)
-    widths = np.fromiter(map(len, words), np.int64, len(words))
-    begins = np.concatenate(([0], np.cumsum(widths + 1)))[:-1]
-    ends = begins + widths
-    kinds, base = ids, len(numbers)
+def features(texts: list[bytes], longest: int = LONGEST_RUN, buckets: int = BUCKETS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For run lengths 1, 2, ..: the bucket of each run of that many words, and the text it is in (ascending)."""
+    data = np.frombuffer(b" %b " % b" ".join(texts), np.uint8)
+    edges = np.flatnonzero(np.diff(data == 32)) + 1
+    begins, ends = edges[::2], edges[1::2]
+    borders = np.cumsum([1, *[len(t) + 1 for t in texts]])
+    owner = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(begins, borders)))
+    parts = list(matrices(data, begins, ends - begins))
+    crc = None
     for size in range(1, longest + 1):
-        if size > 1:  # numbers of the runs one word shorter, and of the word that follows
-            kinds = kinds[:-1] * base + ids[size - 1:]
-            whole = owner[:-1] == owner[1:] if size == 2 else whole[:-1] & (owner[:-size + 1] == owner[size - 1:])
-        else:
-            whole = np.ones(len(ids), bool)
-        spots = np.flatnonzero(whole)
-        _, first, kind = np.unique(kinds[spots], return_index=True, return_inverse=True)
-        at = spots[first]
-        bucket = crcs(data, begins[at], ends[at + size - 1] - begins[at]) % np.uint32(buckets)
-        yield bucket[kind].astype(np.int64), owner[spots]
-        if size < longest:  # gapless numbers keep the next ones small
-            kinds = np.zeros(len(kinds), np.int64)
-            kinds[spots] = kind
-
-
-def chunks(texts: Iterator[str | None]) -> Iterator[list[list[bytes]]]:
-    """Texts as words, in groups of bounded size."""
+        if size > 1:  # the run one word shorter that ends a word before, and a blank
+            crc[1:] = ~stepped(~crc[:-1], np.uint8(32))
+        crc = crcs(data, begins, ends - begins, crc, parts)  # of the runs that end with each word
+        lasts = np.flatnonzero(owner[size - 1:] == owner[:max(len(owner) - size + 1, 0)]) + size - 1
+        yield (crc[lasts] % np.uint32(buckets)).astype(np.int64), owner[lasts]
+
+
+def chunks(texts: Iterator[bytes | None]) -> Iterator[list[bytes]]:
+    """Texts as words between blanks, in groups of bounded size."""
     held, size = [], 0
     for body in texts:
-        words = body.encode().translate(PLAIN).split() if body else []
-        if held and size + len(words) > CHUNK_WORDS:
+        plain = body.translate(PLAIN) if body else b""
+        words = plain.count(b" ") + 1  # at most
+        if held and size + words > CHUNK_WORDS:
             yield held
             held, size = [], 0
-        held.append(words)
-        size += len(words)
+        held.append(plain)
+        size += words
     if held:
         yield held
 
@@ -118,7 +118,7 @@ def bucket_counts(docs: DataFrame, text: str = "text", longest: int = LONGEST_RU
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["bucket", "n"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(added, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    return docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(added, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
 def gains(corpus: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -153,14 +153,15 @@ def weighted(docs: DataFrame, target: DataFrame, text: str = "text", target_text
     def measured(bodies: pd.Series) -> pd.DataFrame:
         made = []
         for texts in chunks(bodies):
-            n, weight = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+            found, weight = [], np.zeros(len(texts), np.int64)
             for bucket, owner in features(texts, longest, buckets):
-                n += np.bincount(owner, minlength=len(texts))
-                np.add.at(weight, owner, gain[bucket])
-            made.append(np.column_stack([[len(t) for t in texts], n, weight]))
+                found.append(np.bincount(owner, minlength=len(texts)))
+                total = np.concatenate(([0], np.cumsum(gain[bucket])))
+                weight += np.diff(total[np.concatenate(([0], np.cumsum(found[-1])))])
+            made.append(np.column_stack([found[0], np.sum(found, axis=0), weight]))
         return pd.DataFrame(np.concatenate(made) if made else np.zeros((0, 3), np.int64), columns=["n_words", "n_features", "weight"])
 
-    return docs.withColumn(out, measured(F.col(text)))
+    return docs.withColumn(out, measured(F.col(text).cast("binary")))
 
 
 def noise(doc_id: str, seed: str = SEED) -> Column:
@@ -174,22 +175,23 @@ def drawn(rows: DataFrame, score: str, may: Column, percent: int = PERCENT, doc_
     """``rows`` with ``out`` (a column of that name is replaced): 1, 2, 3, .. for the highest scores of the rows that ``may`` be drawn, down to
     ``percent`` of a hundred of them (rounded down); null for all others.
 
-    Ties go to the smaller id, a null id last; rows equal in both are interchangeable. Rows are sorted by ranges and
-    written once with their range; a rank is the place in the range plus the rows of the ranges before, so no task
+    Ties go to the smaller id, a null id last; rows equal in both are interchangeable. All rows are written once, so that
+    sampling for the ranges does not make them again. Score and id of those that may be drawn are sorted by ranges and
+    written with their range; a rank is the place in the range plus the rows of the ranges before, so no task
     orders more than one range.
     """
-    rest, spread, part, start, whole, place = (free(name, rows.columns) for name in ("_out", "_spread", "_range", "_start", "_all", "_place"))
-    keyed = rows.withColumns({rest: F.when(may, 0).otherwise(1), spread: F.monotonically_increasing_id()})
-    order = [F.col(rest), F.desc(score), F.asc_nulls_last(doc_id)]
-    kept = written(keyed.repartitionByRange(*order, F.col(spread)).withColumn(part, F.spark_partition_id()), "ranges")
-    sizes = kept.groupBy(part).agg(F.count_if(F.col(rest) == 0).alias("_n"))
+    able, spread, part, start, whole, place = (free(name, rows.columns) for name in ("_able", "_spread", "_range", "_start", "_all", "_place"))
+    marked = written(rows.withColumns({able: may, spread: F.monotonically_increasing_id()}), "scored")
+    order = [F.desc(score), F.asc_nulls_last(doc_id), F.col(spread)]
+    kept = written(marked.where(able).select(score, doc_id, spread).repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "ranges")
+    sizes = kept.groupBy(part).agg(F.count("*").alias("_n"))
     # one row a range: as many as partitions
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(start), F.sum("_n").over(Window.partitionBy()).alias(whole))
-    inside = F.row_number().over(Window.partitionBy(part).orderBy(*order, spread))
-    ranked = kept.join(F.broadcast(starts), part).withColumn(place, inside + F.col(start))
-    chosen = (F.col(rest) == 0) & (F.col(place) <= F.floor(F.col(whole) * percent / 100))
-    return ranked.withColumn(out, F.when(chosen, F.col(place)).cast("long")).drop(rest, spread, part, start, whole, place)
+    inside = F.row_number().over(Window.partitionBy(part).orderBy(*order))
+    ranked = kept.join(F.broadcast(starts), part).withColumn(place, (inside + F.col(start)).cast("long"))
+    chosen = ranked.where(F.col(place) <= F.floor(F.col(whole) * percent / 100)).select(spread, place)
+    return marked.join(chosen, spread, "left").withColumn(out, F.col(place)).drop(able, spread, place)
 
 
 def resampled(docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: str = "text", out: str = "importance") -> DataFrame:

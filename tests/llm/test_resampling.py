@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +85,42 @@ def test_matrices_equal_zlib():
     assert resampling.crcs(np.zeros(0, np.uint8), np.zeros(0, int), np.zeros(0, int)).tolist() == []
 
 
+def test_crcs_of_runs_go_on_from_shorter_ones():
+    data = b"one two" + b"x" * 300 + b"three"
+    starts, lengths = np.array([0, 4, 7, 307, 2]), np.array([3, 3, 300, 5, 0])
+    before = [zlib.crc32(b"run %d " % i) for i in range(5)]
+    got = resampling.crcs(np.frombuffer(data, np.uint8), starts, lengths, np.array(before, np.uint32))
+    assert got.tolist() == [zlib.crc32(data[s:s + n], c) for s, n, c in zip(starts, lengths, before)]
+
+
+@pytest.mark.parametrize("longest", [1, 3, 5])
+def test_runs_stay_inside_their_text(longest):
+    texts = ["", "  a", "b", "--", "a,, b\x7fc " + "y" * 257 + " d", "É  é", ""]
+    plain = [t.encode().translate(resampling.PLAIN) for t in texts]
+    got = [list(zip(owner.tolist(), bucket.tolist())) for bucket, owner in resampling.features(plain, longest)]
+    words = [p.split() for p in plain]
+    assert got == [[(k, zlib.crc32(b" ".join(w[i:i + n])) % 10_000) for k, w in enumerate(words) for i in range(len(w) - n + 1)] for n in range(1, longest + 1)]
+    assert all(len(b) == len(o) == 0 for b, o in resampling.features([b"", b" "], longest))
+
+
+def test_texts_are_read_twice(spark, tmp_path, monkeypatch):
+    """Once to count the corpus and once to weigh it, not again to choose the ranges of ranks."""
+    rows = _rows()
+    _tables(spark, tmp_path, rows, ITEMS)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("string")
+    def told(texts: pd.Series) -> pd.Series:
+        seen.add(len(texts))
+        return texts
+
+    plain = resampling.table
+    monkeypatch.setattr(resampling, "table", lambda spark, folder, name: plain(spark, folder, name).withColumn("text", told("text")) if name == "documents" else plain(spark, folder, name))
+    found = [tuple(r) for r in resampling.op13_resampling(spark, str(tmp_path)).collect()]
+    assert sorted(map(str, found)) == sorted(map(str, contract(rows, ITEMS)))
+    assert seen.value == 2 * len(rows)
+
+
 def test_empty_tables_and_clashing_columns(spark, tmp_path):
     _tables(spark, tmp_path, [], [])
     assert resampling.op13_resampling(spark, str(tmp_path)).count() == 0
